@@ -57,12 +57,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     now = cut(e.mapInArrow(_forest, _SCHEMA).distinct(), "edges")
     mark = None
     for _ in range(rounds):
-        both = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
+        both = now.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         w = Window.partitionBy("a")
         large = both.withColumn("m", F.least("a", F.min("b").over(w))).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         small = down.withColumn("m", F.min("b").over(w))
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m"))).where("a <> b").distinct()
+        small = small.select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))).where("a <> b").distinct()
         new = cut(small, "edges")
         drop_cut(now)
         now = new
@@ -72,7 +72,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         mark = (r[0], r[1])
     else:
         raise RuntimeError("components: no end after the rounds allowed")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b"), F.col("b")).distinct())
+    return now.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("root")), F.struct(F.col("b").alias("node"), F.col("b").alias("root"))))).distinct()
 
 
 def sorted_edges(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

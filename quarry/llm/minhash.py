@@ -156,8 +156,9 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, slots: int = SLOTS, ban
     if not open_bands.isEmpty():
         comp = components(links)
         there = star.join(open_bands, "band", "left_semi")
-        members = there.select("band", F.col("b").alias("doc_id")).union(there.select("band", F.col("a")).distinct())
+        members = there.select("band", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         members = members.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+        members = cut(members, "members")
         x, y = members.select("band", F.col("doc_id").alias("a"), F.col("root").alias("ra")), members.select("band", F.col("doc_id").alias("b"), F.col("root").alias("rb"))
         cross = x.join(y, "band").where("ra <> rb and a < b").select("a", "b").distinct()
         two = verified(cross.join(star.select("a", "b").distinct(), ["a", "b"], "left_anti"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quarry.llm import minhash
+from quarry.llm import minhash, substring
 
 QUERIES = {
     "op6_minhash_near_dedup": minhash.op6,
+    "op9_substring_dedup": substring.op9,
 }
 
 SQL: dict[str, str] = {}
