@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from quarry.llm import minhash, substring
+from quarry.llm import decontam, minhash, substring
 
 QUERIES = {
+    "op2_benchmark_decontamination": decontam.op2,
     "op6_minhash_near_dedup": minhash.op6,
     "op9_substring_dedup": substring.op9,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_benchmark_decontamination": decontam.SQL2,
+}
