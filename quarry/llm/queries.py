@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontam, minhash, substring
+from quarry.llm import bpe, decontam, langid, minhash, substring
 
 QUERIES = {
     "op2_benchmark_decontamination": decontam.op2,
     "op4_bpe_encode_decode": bpe.op4,
     "op6_minhash_near_dedup": minhash.op6,
+    "op8_language_id": langid.op8,
     "op9_substring_dedup": substring.op9,
 }
 
