@@ -31,8 +31,8 @@ def _inside(o: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return o[:-1], np.maximum(0, np.diff(o) - size + 1)
 
 
-def mean_weights(b: np.ndarray, o: np.ndarray, w: np.ndarray, size: int = 3) -> np.ndarray:
-    """For each text the mean over its n-grams of their rows in w; zeros for a text without any."""
+def mean_weights(b: np.ndarray, o: np.ndarray, w: np.ndarray, size: int = 3, prior: int = 0) -> np.ndarray:
+    """For each text the mean over its n-grams of their rows in w, with so many more of weight 0 (prior), that a few n-grams alone say little; zeros for a text without any."""
     first, count = _inside(o, size)
     out = np.zeros((len(count), w.shape[1]), np.float64)
     g = gram_ids(b, size)
@@ -45,17 +45,17 @@ def mean_weights(b: np.ndarray, o: np.ndarray, w: np.ndarray, size: int = 3) ->
     for k in range(w.shape[1]):
         v = np.append(w[:, k][g], np.float32(0))
         total[some, k] = np.add.reduceat(v, np.minimum(edge, len(g)), dtype=np.float64)[::2]
-    out[some] = total[some] / count[some, None]
+    out[some] = total[some] / (count[some, None] + prior)
     return out
 
 
-def frequencies(b: np.ndarray, o: np.ndarray, size: int = 3) -> np.ndarray:
-    """Texts by buckets: the share of each text's n-grams in each bucket."""
+def frequencies(b: np.ndarray, o: np.ndarray, size: int = 3, prior: int = 0) -> np.ndarray:
+    """Texts by buckets: the share of each text's n-grams in each bucket; prior as in mean_weights()."""
     first, count = _inside(o, size)
     out = np.zeros((len(count), BUCKETS), np.float32)
     g = gram_ids(b, size)
     for i in np.flatnonzero(count):
-        out[i] = np.bincount(g[first[i] : first[i] + count[i]], minlength=BUCKETS) / count[i]
+        out[i] = np.bincount(g[first[i] : first[i] + count[i]], minlength=BUCKETS) / (count[i] + prior)
     return out
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontam, langid, minhash, substring
+from quarry.llm import bpe, decontam, langid, minhash, quality, substring
 
 QUERIES = {
     "op2_benchmark_decontamination": decontam.op2,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_minhash_near_dedup": minhash.op6,
     "op8_language_id": langid.op8,
     "op9_substring_dedup": substring.op9,
+    "op10_quality_classifier": quality.op10,
 }
 
 SQL: dict[str, str] = {
