@@ -1,20 +1,53 @@
-"""The corpus pipeline: stages that each take the documents that the one before it kept."""
+"""The corpus pipeline: documents that a quality classifier accepts, one of each group of near duplicates, without repeated
+passages and passages of the benchmark, as token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that the stage before it kept; all but the last return
+the columns of documents. What a stage does with nulls, ties, repeated rows and empty texts is said in its operator's
+module. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import minhash
+from quarry.llm import bpe, decontam, minhash, quality, substring
 from quarry.session import cut
 
 
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return minhash.deduplicate(docs)
 
 
-STAGES = [("minhash_near_dedup", near_dedup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that occur earlier are cut out."""
+    return substring.remove_repeats(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of the benchmark are cut out."""
+    return decontam.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, token_ids, n_tokens, round_trip) of each document."""
+    return bpe.encode(docs)
+
+
+STAGES = [
+    ("quality_classifier", accept_quality),
+    ("minhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("bpe_encode_decode", encode),
+]
 
+#: SQL can't express the stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
