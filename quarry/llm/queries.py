@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontam, langid, minhash, quality, substring
+from quarry.llm import bpe, decontam, langid, minhash, quality, substring, toxicity
 
 QUERIES = {
     "op2_benchmark_decontamination": decontam.op2,
     "op4_bpe_encode_decode": bpe.op4,
+    "op5_toxicity": toxicity.op5,
     "op6_minhash_near_dedup": minhash.op6,
     "op8_language_id": langid.op8,
     "op9_substring_dedup": substring.op9,
