@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontam, langid, minhash, quality, substring, toxicity
+from quarry.llm import bpe, decontam, langid, minhash, quality, sharding, substring, toxicity
 
 QUERIES = {
+    "op1_sharding": sharding.op1,
     "op2_benchmark_decontamination": decontam.op2,
     "op4_bpe_encode_decode": bpe.op4,
     "op5_toxicity": toxicity.op5,
