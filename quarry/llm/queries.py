@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontam, langid, minhash, quality, sharding, substring, toxicity
+from quarry.llm import bpe, decontam, huffman, langid, minhash, quality, sharding, substring, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1,
     "op2_benchmark_decontamination": decontam.op2,
+    "op3_token_huffman": huffman.op3,
     "op4_bpe_encode_decode": bpe.op4,
     "op5_toxicity": toxicity.op5,
     "op6_minhash_near_dedup": minhash.op6,
