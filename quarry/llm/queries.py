@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import bpe, decontam, huffman, langid, minhash, quality, sharding, substring, toxicity
+from quarry.llm import bpe, ctph, decontam, huffman, langid, minhash, quality, sharding, substring, toxicity
 
 QUERIES = {
     "op1_sharding": sharding.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe_encode_decode": bpe.op4,
     "op5_toxicity": toxicity.op5,
     "op6_minhash_near_dedup": minhash.op6,
+    "op7_document_fingerprints": ctph.op7,
     "op8_language_id": langid.op8,
     "op9_substring_dedup": substring.op9,
     "op10_quality_classifier": quality.op10,
