@@ -159,12 +159,16 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, roun
     if y[held].min() == y[held].max() or y[~held].min() == y[~held].max():
         held = np.zeros(len(rows), bool)
     cols = {"t": slice(0, x.shape[1] - _META), "m": slice(x.shape[1] - _META, None)}
-    sets = {v: (x[~held], y[~held]) for v in cols}
-    models = {v: fit(sets[v][0][:, cols[v]], sets[v][1], l2=1e-5, rounds=400) for v in cols}
+    sets = {v: (x[~held][:, cols[v]], y[~held]) for v in cols}
+    z = x[held] if held.any() else x
+    del x
+    models = {v: fit(*sets[v], l2=1e-5, rounds=400) for v in cols}
     taken: set[int] = set()
     sure = float(np.log(CONFIDENT / (1 - CONFIDENT)))
     for _ in range(rounds):
-        s = cut(d.where("doc_id is not null").join(lab, "doc_id", "left_anti").select("doc_id", "source", "lang", "text").mapInArrow(_scores(_score(*models["t"], *models["m"])), "doc_id long, t double, m double"), "scores")
+        # all documents are scored, and labelled ones left out after that: three numbers a document are shuffled, and no text
+        s = d.where("doc_id is not null").mapInArrow(_scores(_score(*models["t"], *models["m"])), "doc_id long, t double, m double")
+        s = cut(s.join(lab, "doc_id", "left_anti"), "scores")
         extra: dict[str, dict[int, float]] = {"t": {}, "m": {}}
         for mine, other in (("t", "m"), ("m", "t")):
             for good in (1.0, -1.0):
@@ -181,10 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, roun
         for v in cols:
             use = [i for i, r in enumerate(got) if r[0] in extra[v]]
             if use:
-                sets[v] = (np.concatenate((sets[v][0], xs[use])), np.concatenate((sets[v][1], [extra[v][got[i][0]] for i in use])))
-                models[v] = fit(sets[v][0][:, cols[v]], sets[v][1], l2=1e-5, rounds=400)
+                sets[v] = (np.concatenate((sets[v][0], xs[use][:, cols[v]])), np.concatenate((sets[v][1], [extra[v][got[i][0]] for i in use])))
+                models[v] = fit(*sets[v], l2=1e-5, rounds=400)
         taken |= set(want)
-    z = x[held] if held.any() else x
     both = np.stack([z[:, cols[v]] @ models[v][0] + models[v][1] for v in ("t", "m")], 1)
     w, c = fit(both, y[held] if held.any() else y, l2=1e-3, rounds=500)
     return _score(*models["t"], *models["m"]), (float(max(w[0], 0)), float(max(w[1], 0)), float(c))
