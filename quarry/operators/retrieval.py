@@ -6,13 +6,15 @@ Every ranking ends in ascending ids, so that ranks are the same however the data
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import cosine
 from quarry.operators.terms import document_frequency, postings, statistics, tokens_of
+from quarry.session import ship_package
 
 K1, B, CANDIDATES, FUSION_K, RERANK = 1.5, 0.75, 50, 60, 20
 
@@ -44,11 +46,47 @@ def bm25(docs: DataFrame, queries: DataFrame, key: str = "doc_id", query: str =
     return hits if k is None else top(hits, query, "score", key, k)
 
 
-def vectors(docs: DataFrame, queries: DataFrame, key: str = "vec_id", query: str = "qid", vector: str = "embedding", k: int = CANDIDATES) -> DataFrame:
-    """(query, key, score, rank) by exact cosine; rows without a vector are left out. The queries' side is sent to all tasks: it is the batch asked for."""
-    c = docs.where(F.col(vector).isNotNull()).select(F.col(key), F.col(vector).alias("v"))
-    q = queries.where(F.col(vector).isNotNull()).select(F.col(query), F.col(vector).alias("qv"))
-    s = c.crossJoin(q).select(query, key, F.round(cosine(F.col("v"), F.col("qv")), 6).alias("score"))
+def _blocks(rows: DataFrame, key: str, vector: str, size: int) -> DataFrame:
+    """Rows of about size keys and vectors each."""
+    n = max(1, -(-rows.count() // size))
+    r = rows.select(F.col(key).cast("long").alias("k"), F.col(vector).cast("array<double>").alias("v"))
+    return r.groupBy(F.pmod(F.xxhash64("k"), F.lit(n)).alias("b")).agg(F.collect_list("k").alias("k"), F.flatten(F.collect_list("v")).alias("v"))
+
+
+def _pairs(k: int, drop_self: bool):
+    def unit(keys, values) -> tuple[np.ndarray, np.ndarray]:
+        x = np.asarray(values, float).reshape(len(keys), -1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.asarray(keys), x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (ck, c), (qk, q) = (unit(batch.column(j)[i].values.to_numpy(), batch.column(j + 1)[i].values.to_numpy()) for j in (0, 2))
+                score = np.round(q @ c.T, 6)
+                if drop_self:
+                    score[qk[:, None] == ck[None]] = np.nan
+                by_key = np.argsort(ck, kind="stable")
+                best = by_key[np.argsort(-score[:, by_key], axis=1, kind="stable")[:, :k]]
+                s = np.take_along_axis(score, best, 1).reshape(-1)
+                ok = ~np.isnan(s)
+                yield pa.record_batch({"q": np.repeat(qk, best.shape[1])[ok], "k": ck[best].reshape(-1)[ok], "score": s[ok]})
+
+    return run
+
+
+def vectors(docs: DataFrame, queries: DataFrame, key: str = "vec_id", query: str = "qid", vector: str = "embedding", k: int = CANDIDATES, drop_self: bool = False, block: int = 1024) -> DataFrame:
+    """(query, key, score, rank) by exact cosine; rows without a vector, and those of length 0, are left out.
+
+    Both sides are packed into blocks; each pair of blocks is one matrix product that keeps k rows a query, so what
+    is shuffled grows with queries times blocks and not with pairs. drop_self: a query's own key is no answer.
+    """
+    ship_package(docs.sparkSession)
+    c = _blocks(docs.where(F.col(vector).isNotNull()), key, vector, block)
+    q = _blocks(queries.where(F.col(vector).isNotNull()), query, vector, block)
+    n = max(1, docs.sparkSession.sparkContext.defaultParallelism)
+    p = c.select(F.col("k").alias("ck"), F.col("v").alias("cv")).crossJoin(q.select(F.col("k").alias("qk"), F.col("v").alias("qv"))).repartition(n * 4)
+    s = p.mapInArrow(_pairs(k, drop_self), "q long, k long, score double").select(F.col("q").alias(query), F.col("k").alias(key), "score")
     return top(s, query, "score", key, k)
 
 

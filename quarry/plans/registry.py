@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-SQL: dict = {}
+from quarry.plans import corpus, tables
+
+QUERIES: dict = {**corpus.QUERIES, **tables.QUERIES}
+SQL: dict = {**corpus.SQL, **tables.SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Largest documents by source."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.count("*").alias("n")).orderBy("source")
+    """Every benchmark text as a query: BM25 ranking, and how soon a document that contains it comes."""
+    return corpus.reachability(spark, sf_dir)
