@@ -30,7 +30,7 @@ from quarry.session import ship_package
 #: Place of the vocabulary on the driver; executors get its arrays from there.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Text bytes whose unknown pre-tokens share one index, and the most pre-tokens that a worker remembers.
-PART_BYTES, REMEMBER = 24 << 20, 400_000
+PART_BYTES, REMEMBER = 8 << 20, 250_000
 
 _L, _N, _S, _O = 0, 1, 2, 3
 _SPACES = {*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
