@@ -10,6 +10,7 @@ Cyrillic letters, none of which changes the length in bytes. A null text has no
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,15 +170,27 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches with about so many bytes of text each (one text at least), with the bytes and offsets of that column."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        b, o = buffers(batch.column(batch.schema.get_field_index(text)))
-        lo = 0
-        while lo < batch.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(o, o[lo] + most, "right")) - 1)
-            yield batch.slice(lo, hi - lo), b[o[lo] : o[hi]], o[lo : hi + 1] - o[lo]
-            lo = hi
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            b, o = buffers(batch.column(batch.schema.get_field_index(text)))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(o, o[lo] + most, "right")) - 1)
+                yield batch.slice(lo, hi - lo), b[o[lo] : o[hi]], o[lo : hi + 1] - o[lo]
+                lo = hi
+    finally:
+        release()
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
 
 
 def signed(x: np.ndarray) -> np.ndarray:
