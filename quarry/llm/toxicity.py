@@ -2,11 +2,11 @@
 
 Voters look at the folded words of the whole text, and at the words after look-alike signs are read as letters (1 as i, $
 as s and so on): five lexicons (insults, contempt, profanity, threats, dehumanising words), insulting phrases, an insult
-within three words of "you", two distinct lexicon words or more, lexicon words by length, a disguised lexicon word, and
-one that votes for harmlessness where no lexicon word occurs. As no list covers every language, one more lexicon is mined from
+within three words of "you", two distinct lexicon words or more, lexicon words by length, and a disguised lexicon word. As no
+list covers every language, one more lexicon is mined from
 at most LABEL_DOCS labelled documents (the first in the order of a hash of their doc_id): the words that a likelihood
-ratio of MINED or more ties to toxic ones that aren't copies of each other; one voter asks for one of these words, one for two. Each voter votes 1, or -1,
-or abstains.
+ratio of MINED or more ties to toxic ones that aren't copies of each other; one voter asks for one of these words, one for two. Each voter votes 1 or
+abstains; how often it abstains in either class tells as well.
 
 The counts of all vote patterns over all documents are what the label model is fitted to (a pattern is one of a bounded
 number, so they fit on the driver): expectation-maximisation estimates how often each voter casts each vote given either
@@ -18,7 +18,7 @@ A logistic classifier is then fitted to the posteriors of at most TRAIN_DOCS doc
 the order of a hash of their doc_id), on the votes and on the presence of the words that tell the classes apart best,
 and it scores every document.
 
-Defined results: a null or empty text has only the vote for harmlessness; if no voter ever votes 1, all scores are 0;
+Defined results: a null or empty text has no votes; if no voter ever votes 1, all scores are 0;
 rows without a doc_id are left out; rows that repeat a doc_id are scored one by one; an empty table gives no rows.
 """
 
@@ -51,7 +51,7 @@ LEXICONS = {
 #: Words that are also harmless alone: one of them is no vote of its lexicon.
 MILD = frozenset("kill murder rape hang stab shoot fool trash garbage pig pigs rat rats animals ass pest clown clowns creep damn crap useless ugly dumb filthy slaughter piss vile arse dick prick hang".split())
 PHRASES = "shut up|go to hell|kill yourself|drop dead|you suck|i hate you|you make me sick|nobody likes you|piece of shit|piece of trash|piece of garbage|waste of space|go die|hope you die|you people|screw you|get lost|you disgust me|worthless piece".split("|")
-VOTERS = [*LEXICONS, "phrase", "aimed", "several", "density", "disguised", "mined", "mined_twice", "harmless"]
+VOTERS = [*LEXICONS, "phrase", "aimed", "several", "density", "disguised", "mined", "mined_twice"]
 _LOOK = np.arange(256, dtype=np.uint8)
 for _a, _b in zip(b"013457@$!", b"oieastasi", strict=True):
     _LOOK[_a] = _b
@@ -127,7 +127,6 @@ class Voters:
                 out[i, k + 4] = len(new) > 0
         found = distinct(np.isin(x, self.mined))
         out[:, k + 5], out[:, k + 6] = found >= 1, found >= 2
-        out[:, k + 7] = np.where((out[:, : k + 7] == 0).all(1) & (kinds == 0), -1, 0)
         return out
 
 
