@@ -5,8 +5,8 @@ one of 64 signs. A document's block size is the greatest of 3 * 2**k at which it
 SIGNS / 2 signs (the least one if there is none), and the fingerprint holds the signatures at that size and at twice it, of
 whole texts, however long. Two fingerprints are compared at each block size that both have: if their signatures share a run of
 RUN signs (runs of more than three equal signs count as three), the score is 100 less the share of the edit distance in
-the sum of their lengths, else 0; the best of the sizes counts. Edit distances are computed for all pairs of a batch side by
-side (bit-parallel, Myers 1999, in Hyyro's form for whole strings).
+the sum of their lengths, else 0; the best of the sizes counts. Edit distances of candidates are computed within the JVM;
+compare() does the same for pairs that are at hand (bit-parallel, Myers 1999, in Hyyro's form for whole strings).
 
 Candidates are found exactly: signatures are keyed by all their runs, and of a run that many distinct signatures share, all pairs are
 compared. Documents of the same fingerprint are compared once, through the one with the least doc_id.
@@ -164,13 +164,15 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, keys = [], []
+        ids, keys, levels = [], [], []
         for d, block, s, s2 in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            k = np.unique(np.concatenate((run_keys(s.encode(), block), run_keys(s2.encode(), 2 * block))))
-            ids.append(np.full(len(k), d))
-            keys.append(k)
+            for sig, level in ((s, block), (s2, 2 * block)):
+                k = run_keys(sig.encode(), level)
+                ids.append(np.full(len(k), d))
+                levels.append(np.full(len(k), level))
+                keys.append(k)
         if ids:
-            yield pa.record_batch({"doc_id": np.concatenate(ids).astype(np.int64), "key": np.concatenate(keys).view(np.int64)})
+            yield pa.record_batch({"doc_id": np.concatenate(ids).astype(np.int64), "level": np.concatenate(levels).astype(np.int64), "key": np.concatenate(keys).view(np.int64)})
 
 
 def compare(a: list[tuple[int, str, str]], b: list[tuple[int, str, str]]) -> np.ndarray:
@@ -190,16 +192,6 @@ def compare(a: list[tuple[int, str, str]], b: list[tuple[int, str, str]]) -> np.
     return best
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 2000):
-            batch = whole.slice(lo, 2000)
-            c = [batch.column(i).to_pylist() for i in range(8)]
-            s = compare(list(zip(*c[2:5], strict=True)), list(zip(*c[5:8], strict=True)))
-            ok = pa.array(s >= MATCH)
-            yield pa.record_batch({"a": batch.column(0).filter(ok), "b": batch.column(1).filter(ok), "score": pa.array(s[s >= MATCH].astype(np.int32))})
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, block, sig, sig2) of every document."""
     ship_package(docs.sparkSession)
@@ -215,12 +207,16 @@ def closest(docs: DataFrame) -> DataFrame:
     same = cut(p.join(same, fp).select("doc_id", "rep", "n"), "same")
     second = same.where("doc_id <> rep").groupBy("rep").agg(F.min("doc_id").alias("second"))
     reps = cut(p.join(same.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "reps")
-    keys = reps.select("doc_id", *fp).mapInArrow(_keys, "doc_id long, key long")
+    keys = reps.select("doc_id", *fp).mapInArrow(_keys, "doc_id long, level long, key long")
     many = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
+    # only runs that two fingerprints share go on
     keys = cut(keys.join(many, "key", "left_semi"), "keys")
-    pairs = keys.select("key", F.col("doc_id").alias("a")).join(keys.select("key", F.col("doc_id").alias("b")), "key").where("a < b").select("a", "b").distinct()
-    side = lambda s: reps.select(F.col("doc_id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in fp])
-    scored = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"a_{c}" for c in fp], *[f"b_{c}" for c in fp]).mapInArrow(_compare, "a long, b long, score int")
+    pairs = keys.select("key", "level", F.col("doc_id").alias("a")).join(keys.select("key", "level", F.col("doc_id").alias("b")), ["key", "level"]).where("a < b").select("a", "b", "level").distinct()
+    short = lambda c: F.regexp_replace(c, r"(.)\1{3,}", "$1$1$1")
+    side = lambda s: reps.select(F.col("doc_id").alias(s), F.col("block").alias(f"{s}_block"), short("sig").alias(f"{s}_1"), short("sig2").alias(f"{s}_2"))
+    at = lambda s: F.when(F.col("level") == F.col(f"{s}_block"), F.col(f"{s}_1")).otherwise(F.col(f"{s}_2"))
+    scored = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", at("a").alias("x"), at("b").alias("y"))
+    scored = scored.select("a", "b", (100 - F.floor(100 * F.levenshtein("x", "y") / (F.length("x") + F.length("y")))).cast("int").alias("score")).where(F.col("score") >= MATCH)
     scored = cut(scored, "scored")
     both = scored.select(F.inline(F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("other"), "score"), F.struct(F.col("b").alias("rep"), F.col("a").alias("other"), "score"))))
     best = both.groupBy("rep").agg(F.max(F.struct("score", (-F.col("other")).alias("m"))).alias("x")).select("rep", F.col("x.score").alias("near_score"), (-F.col("x.m")).alias("near"))
