@@ -33,7 +33,7 @@ def manifest(spark: SparkSession, rows: list[dict]) -> DataFrame:
     for r in rows:
         if any(not r.get(k) for k in names[:3]):
             raise ValueError(f"pdf, insurer and product_name are needed: {r}")
-    return spark.createDataFrame([tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows], MANIFEST).withColumn("effective_date", F.try_to_date("effective_date", F.lit("yyyy-MM-dd")))
+    return spark.createDataFrame([tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows], MANIFEST).withColumn("effective_date", F.try_to_date("effective_date", "yyyy-MM-dd"))
 
 
 def table_candidates(*sources: tuple[str, DataFrame]) -> DataFrame:
