@@ -59,10 +59,18 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own_dir[0]
 
 
+def _file(df: DataFrame, path: str):
+    """The file system and the path, on the JVM's side."""
+    p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()), p
+
+
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write df as Parquet into the shared folder and read it again: lineage ends there, and lost executors cost nothing but their own tasks."""
+    """Write df as Parquet into the shared folder and read it again: lineage ends there, and lost executors cost nothing but their own tasks. The table goes when the driver ends, if drop_cut() hasn't taken it before."""
     path = f"{shared_dir(df.sparkSession)}/quarry-{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    fs, p = _file(df, path)
+    fs.deleteOnExit(p)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._quarry_path = path
     return back
@@ -72,9 +80,8 @@ def drop_cut(df: DataFrame | None) -> None:
     """Delete a table made by cut() once nothing reads it any more."""
     path = getattr(df, "_quarry_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        fs, p = _file(df, path)
+        fs.delete(p, True)
 
 
 def small_side(table: DataFrame, most_rows: int = 4_000_000) -> DataFrame:
