@@ -46,6 +46,10 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(out))
     atexit.register(shutil.rmtree, out.parent, True)
     _shipped[app] = True
+    # whole texts are long rows: Spark's default of 10,000 rows a batch would hold tens of megabytes on either side of each worker
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
 
 
 def shared_dir(spark: SparkSession) -> str:
