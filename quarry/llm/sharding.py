@@ -84,23 +84,27 @@ def deal(sizes: DataFrame, shards: int) -> DataFrame:
     return sizes.select("doc", "size", F.when(lap % 2 == 0, k).otherwise(shards - 1 - k).cast("int").alias("shard"))
 
 
-def _quotas(size: dict[int, int], asked: dict[tuple[int, int], int], capacity: float, shards: int, taken) -> dict[tuple[int, int], float]:
-    """Bytes that may move from a shard to another: a bounded table of shards by shards. taken: what really moves under given quotas."""
+def _quotas(size: dict[int, int], asked: dict[tuple[int, int], int], capacity: float, shards: int, largest: int, taken) -> dict[tuple[int, int], float]:
+    """Bytes that may move from a shard to another: a bounded table of shards by shards. taken: what really moves under given quotas; largest: no moving document is larger."""
     room = {j: max(0.0, capacity - size.get(j, 0)) for j in range(shards)}
     into = {j: sum(v for (_, t), v in asked.items() if t == j) for j in range(shards)}
     share = {(i, j): room[j] * v / into[j] for (i, j), v in asked.items()}
     quota = {(i, j): min(v, asked.get((j, i), 0) + share[i, j]) for (i, j), v in asked.items()}
-    for _ in range(12):
-        real = taken(quota)
+    real = taken(quota)
+    # a quota that shrinks below what moved takes that much or up to one document less, which bounds what goes and comes
+    most = {k: float(real.get(k, 0)) for k in quota}
+    least = dict(most)
+    for _ in range(200):
         fine = True
         for j in range(shards):
-            come = sum(v for (_, t), v in real.items() if t == j)
-            free = room[j] + sum(v for (f, _), v in real.items() if f == j)
+            come = sum(v for (_, t), v in most.items() if t == j)
+            free = room[j] + sum(v for (f, _), v in least.items() if f == j)
             if come > free:
                 fine = False
                 for i in range(shards):
-                    if (i, j) in quota:
-                        quota[i, j] = min(quota[i, j], real.get((i, j), 0) * free / come * 0.98)
+                    if most.get((i, j)):
+                        quota[i, j] = most[i, j] = most[i, j] * free / come * 0.999
+                        least[i, j] = max(0.0, min(least[i, j], most[i, j] - largest))
         if fine:
             return quota
     return share  # no exchange at all: what comes in fits the room even if nothing leaves
@@ -128,7 +132,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: fl
         best = near.join(moving.select("doc", F.col("shard").alias("own"), "size"), "doc").groupBy("doc", "own", "size").agg(F.max_by("shard", F.struct("w", -F.col("shard"))).alias("to"), F.max("w").alias("top"), F.max(F.when(F.col("shard") == F.col("own"), F.col("w")).otherwise(0)).alias("here"))
         w = Window.partitionBy("own", "to").orderBy(F.desc("gain"), "doc").rowsBetween(Window.unboundedPreceding, 0)
         moves = best.where("to <> own and top > here").where(F.pmod(F.xxhash64("doc", F.lit(t)), F.lit(2)) == 0).select("doc", "own", "to", "size", (F.col("top") - F.col("here")).alias("gain"))
-        moves = cut(moves.select("doc", "own", "to", F.sum("size").over(w).alias("sum")), "moves")
+        moves = cut(moves.select("doc", "own", "to", "size", F.sum("size").over(w).alias("sum")), "moves")
 
         def table(quota: dict[tuple[int, int], float]) -> DataFrame:
             return F.broadcast(spark.createDataFrame([(i, j, float(v)) for (i, j), v in quota.items()], "own int, to int, quota double"))
@@ -136,7 +140,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: fl
         def taken(quota: dict[tuple[int, int], float], moves: DataFrame = moves, table=table) -> dict[tuple[int, int], int]:
             return {(r["own"], r["to"]): r["s"] for r in moves.join(table(quota), ["own", "to"]).where("sum <= quota").groupBy("own", "to").agg(F.max("sum").alias("s")).collect()}
 
-        asked = {(r["own"], r["to"]): r["s"] for r in moves.groupBy("own", "to").agg(F.max("sum").alias("s")).collect()}
+        table_of = moves.groupBy("own", "to").agg(F.max("sum").alias("s"), F.max("size").alias("m")).collect()
+        asked = {(r["own"], r["to"]): r["s"] for r in table_of}
         if not asked:
             drop_cut(moves)
             idle += 1
@@ -144,12 +149,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: fl
                 break
             continue
         idle = 0
-        quota = _quotas(size, asked, capacity, shards, taken)
-        go = cut(moves.join(table(quota), ["own", "to"]).where("sum <= quota").select("doc", "to"), "go")
-        drop_cut(moves)
+        quota = _quotas(size, asked, capacity, shards, max(r["m"] for r in table_of), taken)
+        go = moves.join(table(quota), ["own", "to"]).where("sum <= quota").select("doc", "to")
         new = cut(moving.join(go, "doc", "left").select("doc", "size", F.coalesce("to", "shard").alias("shard")), "labels")
         drop_cut(moving)
-        drop_cut(go)
+        drop_cut(moves)
         moving = new
     return moving.unionByName(still).select(F.col("doc").alias("doc_id"), "shard", "size")
 
