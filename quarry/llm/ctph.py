@@ -1,4 +1,4 @@
-"""Document fingerprints by context-triggered piecewise hashing, and the closest match of each document.
+"""Document fingerprints by context-triggered piecewise hashing, and the matches of each document.
 
 A rolling hash of the last WINDOW bytes ends a piece wherever it is block - 1 modulo the block size; a piece's hash gives
 one of 64 signs. A document's block size is the greatest of 3 * 2**k at which its signature has at least
@@ -9,7 +9,9 @@ the sum of their lengths, else 0; the best of the sizes counts. Edit distances o
 compare() does the same for pairs that are at hand (bit-parallel, Myers 1999, in Hyyro's form for whole strings).
 
 Candidates are found exactly: signatures are keyed by all their runs, and of a run that many distinct signatures share, all pairs are
-compared. Documents of the same fingerprint are compared once, through the one with the least doc_id.
+compared. Documents of the same fingerprint are compared once, through the one with the least doc_id, their representative:
+matches lists, for a representative, every other one whose score is a match and its own twins, and for a twin its representative,
+so every scored pair is in the result in both directions; whatever a representative matches, its twins match with the same score.
 
 Defined results: a text of fewer than RUN signs at its least block size (null and empty ones too) has a fingerprint and no match,
 but for documents of the same nonempty fingerprint, which match with 100; rows without a doc_id are left out; rows that repeat a doc_id
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import docs_of, mix, powers, steps
-from quarry.session import cut, ship_package
+from quarry.session import cut, drop_cut, ship_package
 
 WINDOW = 7
 SIGNS = 64
@@ -199,7 +201,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def closest(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, match_id, score): the fingerprint of every document and its closest match, if there is one."""
+    """(doc_id, fingerprint, match_id, score, matches): the fingerprint of every document, its closest match, if there is one, and all matches (match_id, score), best first; null if there is none."""
     p = cut(fingerprints(docs).groupBy("doc_id").agg(F.min(F.struct("block", "sig", "sig2")).alias("p")).select("doc_id", "p.*"), "prints")
     fp = ["block", "sig", "sig2"]
     # one document stands for all of the same fingerprint; second is its match among them
@@ -217,12 +219,18 @@ def closest(docs: DataFrame) -> DataFrame:
     at = lambda s: F.when(F.col("level") == F.col(f"{s}_block"), F.col(f"{s}_1")).otherwise(F.col(f"{s}_2"))
     scored = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", at("a").alias("x"), at("b").alias("y"))
     scored = scored.select("a", "b", (100 - F.floor(100 * F.levenshtein("x", "y") / (F.length("x") + F.length("y")))).cast("int").alias("score")).where(F.col("score") >= MATCH)
-    scored = cut(scored, "scored")
+    scored = cut(scored.groupBy("a", "b").agg(F.max("score").alias("score")), "scored")
+    drop_cut(keys)
+    drop_cut(reps)
     both = scored.select(F.inline(F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("other"), "score"), F.struct(F.col("b").alias("rep"), F.col("a").alias("other"), "score"))))
     best = both.groupBy("rep").agg(F.max(F.struct("score", (-F.col("other")).alias("m"))).alias("x")).select("rep", F.col("x.score").alias("near_score"), (-F.col("x.m")).alias("near"))
-    out = p.join(same, "doc_id").join(second, "rep", "left").join(best, "rep", "left")
+    twins = same.where("doc_id <> rep").join(p.where("length(sig) > 0").select("doc_id"), "doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(100).alias("score"))
+    every = scored.unionByName(twins).select(F.inline(F.array(F.struct(F.col("a").alias("doc_id"), F.col("b").alias("match_id"), "score"), F.struct(F.col("b").alias("doc_id"), F.col("a").alias("match_id"), "score"))))
+    every = every.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "match_id"))).alias("x"))
+    every = every.select("doc_id", F.transform("x", lambda m: F.struct(m["match_id"].alias("match_id"), (-m["s"]).alias("score"))).alias("matches"))
+    out = p.join(same, "doc_id").join(second, "rep", "left").join(best, "rep", "left").join(every, "doc_id", "left")
     twin = F.when((F.col("n") > 1) & (F.length("sig") > 0), F.when(F.col("doc_id") == F.col("rep"), F.col("second")).otherwise(F.col("rep")))
-    return out.select("doc_id", F.concat_ws(":", F.col("block").cast("string"), "sig", "sig2").alias("fingerprint"), F.coalesce(twin, F.col("near")).alias("match_id"), F.when(twin.isNotNull(), F.lit(100)).otherwise(F.col("near_score")).cast("int").alias("score"))
+    return out.select("doc_id", F.concat_ws(":", F.col("block").cast("string"), "sig", "sig2").alias("fingerprint"), F.coalesce(twin, F.col("near")).alias("match_id"), F.when(twin.isNotNull(), F.lit(100)).otherwise(F.col("near_score")).cast("int").alias("score"), "matches")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,5 +81,19 @@ def test_closest_against_all_pairs(which, request):
     assert got == want
 
 
+def test_all_scored_pairs_of_families_of_copies_are_in_the_result(spark):
+    r = random.Random(2)
+    a = " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(600))
+    b, c = a[:1500] + " another passage here " + a[1500:], a[:3000] + " one more change " + a[3000:]
+    df = spark.createDataFrame([(1, a), (2, a), (3, b), (4, b), (5, c), (6, "x")], "doc_id long, text string")
+    got = {r.doc_id: {(m.match_id, m.score) for m in r.matches or []} for r in C.closest(df).collect()}
+    prints = {r.doc_id: (r.block, r.sig, r.sig2) for r in C.fingerprints(df).collect()}
+    pairs = [(1, 3), (1, 5), (3, 5)]
+    scores = C.compare([prints[x] for x, _ in pairs], [prints[y] for _, y in pairs]).tolist()
+    assert min(scores) >= C.MATCH
+    want = {(x, y, s) for (x, y), s in zip(pairs, scores, strict=True)} | {(1, 2, 100), (3, 4, 100)}
+    assert {(d, m, s) for d, ms in got.items() for m, s in ms} == want | {(y, x, s) for x, y, s in want}
+
+
 def test_closest_of_nothing(empty):
     assert C.closest(empty).count() == 0
