@@ -57,6 +57,16 @@ def test_near_groups_against_brute_force(spark, docs, sf):
     assert M.deduplicate(docs).count() == len(ids) - (~got.kept).sum()
 
 
+def test_pairs_at_the_threshold_are_judged_by_their_sets(spark):
+    rows, like, unlike = [], [], []
+    for i in range(60):  # 298 shingles each, of which 200 or 196 are common: 0.505 or 0.490
+        k = 202 if i % 2 else 198
+        rows += [(2 * i, " ".join(f"w{i}x{j}" for j in range(300))), (2 * i + 1, " ".join(f"w{i}x{j}" if j < k else f"v{i}x{j}" for j in range(300)))]
+        (like if i % 2 else unlike).append(2 * i)
+    got = {r.doc_id for r in M.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(d in got for d in like) >= 0.9 * len(like) and not got & set(unlike)
+
+
 def test_groups_whose_least_document_is_unlike_the_rest(spark):
     base = [f"w{i}" for i in range(400)]
     rows = [(k, " ".join(base[: 400 - 40 * k])) for k in range(6)]
