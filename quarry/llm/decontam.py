@@ -318,7 +318,20 @@ def leak_spans(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_W
     return both.repartition(F.col("doc_id")).sortWithinPartitions("doc_id", "start_word", "end_word").mapInArrow(_merge, _SPANS)
 
 
-def _cutting(bench):
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same spans in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for x, y in sorted(spans):
+        if out and x <= out[-1][1]:
+            out[-1] = (out[-1][0], max(y, out[-1][1]))
+        else:
+            out.append((x, y))
+    return out
+
+
+def _cutting(bench, last: bool):
+    """Adds a slice's spans to those in __q_spans (starts and ends by turns); the last slice's cuts them all from the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _shards(batches, "__q_text"):
             doc, a, z, _ = _found(held, bench)
@@ -328,6 +341,14 @@ def _cutting(bench):
             base = 0
             for batch, b, o, _h, s, e, ptr in held:
                 k = batch.schema.get_field_index("__q_text")
+                for i, flat in enumerate(batch.column(k + 1).to_pylist()):
+                    if flat:
+                        spans[base + i] = _merged([*zip(flat[::2], flat[1::2], strict=True), *spans.get(base + i, [])])
+                if not last:
+                    flat = pa.array([[v for p in spans[base + i] for v in p] if base + i in spans else None for i in range(batch.num_rows)], pa.list_(pa.int32()))
+                    base += batch.num_rows
+                    yield pa.record_batch([*batch.columns[: k + 1], flat], names=batch.schema.names)
+                    continue
                 hit = [i for i in range(batch.num_rows) if base + i in spans]
                 text, flag = batch.column(k), pa.array([False] * batch.num_rows)
                 if hit:
@@ -346,16 +367,17 @@ def _cutting(bench):
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:
     """docs with the spans of leak_spans() cut out, and n_chars, where there is one, set to the new length. A document of which no word is left goes; the others stay."""
     ship_package(docs.sparkSession)
-    for bench in _slices(benchmark, slice_words):
-        t = docs.withColumn("__q_text", F.col("text").cast("string"))
-        schema = t.withColumn("__q_hit", F.lit(False)).schema
-        t = t.mapInArrow(_cutting(bench), schema)
-        t = t.where(~F.col("__q_hit") | F.col("__q_text").rlike(r"[\p{L}\p{N}]"))
-        new = t.withColumn("text", F.when(F.col("__q_hit"), F.col("__q_text")).otherwise(F.col("text")))
-        if "n_chars" in docs.columns:
-            new = new.withColumn("n_chars", F.when(F.col("__q_hit"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-        docs = new.select(*docs.columns)
-    return docs
+    t = docs.withColumn("__q_text", F.col("text").cast("string")).withColumn("__q_spans", F.lit(None).cast("array<int>"))
+    schema = t.drop("__q_spans").withColumn("__q_hit", F.lit(False)).schema
+    *others, bench = _slices(benchmark, slice_words)
+    for other in others:  # all slices look at the uncut text
+        t = t.mapInArrow(_cutting(other, False), t.schema)
+    t = t.mapInArrow(_cutting(bench, True), schema)
+    t = t.where(~F.col("__q_hit") | F.col("__q_text").rlike(r"[\p{L}\p{N}]"))
+    new = t.withColumn("text", F.when(F.col("__q_hit"), F.col("__q_text")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        new = new.withColumn("n_chars", F.when(F.col("__q_hit"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return new.select(*docs.columns)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
