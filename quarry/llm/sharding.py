@@ -1,7 +1,8 @@
 """Sharding by balanced label propagation: linked documents move towards their neighbours' shards under quotas.
 
-Documents are linked that share a line of LINE_WORDS words or more, in the order of their doc_id along each line's
-documents, so that a line shared by n documents gives n - 1 links, and links that several lines give weigh more. The
+Any two documents are linked that share a line of LINE_WORDS words or more, with the number of such lines as weight. The links
+are not made one by one: documents are counted by line and shard, and a document's weight towards a shard is the sum of its
+lines' counts there, less itself, which is the same at a cost in proportion to the lines. The
 documents are first dealt out by size, largest first, to and fro over the shards (in groups of about DEAL documents that a
 hash of doc_id makes). In each round a document would move to the shard with the greatest weight of its neighbours
 (ties: the least shard), if that is more than in its own; a hash of doc_id and round lets half of the documents move, so that
@@ -60,19 +61,33 @@ def _lines(least: int):
     return run
 
 
-def links(docs: DataFrame, least: int = LINE_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(doc, size) of every document, and the links (a, b, w), both written."""
+def members(docs: DataFrame, least: int = LINE_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(doc, size) of every document, and (hash, doc) of the lines that two documents or more share, both written."""
     ship_package(docs.sparkSession)
     rows = docs_of(docs).mapInArrow(_lines(least), "hash long, doc long, size long")
     rows = cut(rows, "lines")
     sizes = cut(rows.where("hash = 0 and size > 0").groupBy("doc").agg(F.max("size").alias("size")), "sizes")
     lines = rows.where("hash <> 0").select("hash", "doc")
     shared = lines.groupBy("hash").agg(F.count("*").alias("n"), F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("hash")
-    along = lines.join(shared, "hash", "left_semi").distinct().withColumn("b", F.lead("doc").over(Window.partitionBy("hash").orderBy("doc")))
-    edges = along.where("b is not null").groupBy(F.col("doc").alias("a"), "b").agg(F.count("*").alias("w"))
-    edges = cut(edges, "links")
+    lines = cut(lines.join(shared, "hash", "left_semi").distinct(), "shared")
     drop_cut(rows)
-    return sizes, edges
+    return sizes, lines
+
+
+def links(docs: DataFrame, least: int = LINE_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(doc, size) of every document, and of all links (a, b, w) those between neighbours in the order of doc_id along each line: a small sample to measure cuts by."""
+    sizes, lines = members(docs, least)
+    along = lines.withColumn("b", F.lead("doc").over(Window.partitionBy("hash").orderBy("doc")))
+    edges = along.where("b is not null").groupBy(F.col("doc").alias("a"), "b").agg(F.count("*").alias("w"))
+    return sizes, cut(edges, "links")
+
+
+def weights(lines: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc, own, size, shard, w): the weight of each document's links to each shard that has any of its lines, its own shard included."""
+    there = lines.join(labels.select("doc", "shard"), "doc").groupBy("hash", "shard").agg(F.count("*").alias("n"))
+    near = lines.join(there, "hash").groupBy("doc", "shard").agg(F.sum("n").alias("w"), F.count("*").alias("lines"))
+    own = F.col("shard") == F.col("own")  # each of its lines counts the document itself there
+    return near.join(labels.select("doc", F.col("shard").alias("own"), "size"), "doc").select("doc", "own", "size", "shard", (F.col("w") - F.when(own, F.col("lines")).otherwise(0)).alias("w"))
 
 
 def deal(sizes: DataFrame, shards: int) -> DataFrame:
@@ -113,11 +128,9 @@ def _quotas(size: dict[int, int], asked: dict[tuple[int, int], int], capacity: f
 def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK, least: int = LINE_WORDS) -> DataFrame:
     """(doc_id, shard, size) of every document."""
     spark = docs.sparkSession
-    sizes, edges = links(docs, least)
-    both = cut(edges.select(F.inline(F.array(F.struct(F.col("a").alias("doc"), F.col("b").alias("other"), "w"), F.struct(F.col("b").alias("doc"), F.col("a").alias("other"), "w")))), "both")
-    drop_cut(edges)
+    sizes, lines = members(docs, least)
     dealt = cut(deal(sizes, shards), "dealt")
-    linked = both.select("doc").distinct()
+    linked = lines.select("doc").distinct()
     moving = cut(dealt.join(linked, "doc", "left_semi"), "labels")
     still = dealt.join(linked, "doc", "left_anti")
     fixed = {r["shard"]: r["s"] for r in still.groupBy("shard").agg(F.sum("size").alias("s")).collect()}
@@ -128,8 +141,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: fl
         size = dict(fixed)
         for r in moving.groupBy("shard").agg(F.sum("size").alias("s")).collect():
             size[r["shard"]] = size.get(r["shard"], 0) + r["s"]
-        near = both.join(moving.select(F.col("doc").alias("other"), "shard"), "other").groupBy("doc", "shard").agg(F.sum("w").alias("w"))
-        best = near.join(moving.select("doc", F.col("shard").alias("own"), "size"), "doc").groupBy("doc", "own", "size").agg(F.max_by("shard", F.struct("w", -F.col("shard"))).alias("to"), F.max("w").alias("top"), F.max(F.when(F.col("shard") == F.col("own"), F.col("w")).otherwise(0)).alias("here"))
+        best = weights(lines, moving).groupBy("doc", "own", "size").agg(F.max_by("shard", F.struct("w", -F.col("shard"))).alias("to"), F.max("w").alias("top"), F.max(F.when(F.col("shard") == F.col("own"), F.col("w")).otherwise(0)).alias("here"))
         w = Window.partitionBy("own", "to").orderBy(F.desc("gain"), "doc").rowsBetween(Window.unboundedPreceding, 0)
         moves = best.where("to <> own and top > here").where(F.pmod(F.xxhash64("doc", F.lit(t)), F.lit(2)) == 0).select("doc", "own", "to", "size", (F.col("top") - F.col("here")).alias("gain"))
         moves = cut(moves.select("doc", "own", "to", "size", F.sum("size").over(w).alias("sum")), "moves")

@@ -24,6 +24,17 @@ def test_shards_are_even_and_cut_fewer_links(spark):
     assert cut_share(e, after) < 0.6 * cut_share(e, before)
 
 
+def test_weights_count_every_linked_pair(spark):
+    family = lambda d: d * 7919 % 48
+    rows = [(d, "\n".join(f"line {k} of the family number {family(d)} of copies" for k in range(3))) for d in range(960)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, lines = S.members(df)
+    dealt = S.deal(sizes, 4)
+    start = {r.doc: r.shard for r in dealt.collect()}
+    w = {(r.doc, r.shard): r.w for r in S.weights(lines, dealt).collect()}
+    assert all(w.get((d, k), 0) == 3 * sum(start[x] == k and x != d for x, _ in rows if family(x) == family(d)) for d in range(0, 960, 37) for k in range(4))
+
+
 def test_shards_of_odd_rows(odd, empty):
     got = S.shard(odd, shards=3, rounds=2)
     assert sorted(r.doc_id for r in got.collect()) == [*range(1, 13)] and got.where("shard < 0 or shard > 2 or shard is null").count() == 0
