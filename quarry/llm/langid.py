@@ -6,8 +6,10 @@ text predicts each bit. Decoding takes the language with the least sum of logist
 its classifier is from chance on held-out rows; a document is flagged ambiguous if the second best language is within
 MARGIN of the best, the loss being a mean over bits by their weights, or if it has no trigram.
 
-The classifiers are fitted on at most TRAIN_DOCS labelled documents (rows with a lang), the first ones in the order of a
-hash of their doc_id; a quarter of these are held out for the bit weights. Every document's whole text is scored.
+The languages are all those of the labelled documents (rows with a lang). The classifiers are fitted on a bounded sample by
+language: of each at most TRAIN_DOCS divided by the number of languages, LEAST_DOCS at least, the first ones in the order of
+a hash of their doc_id. Each language weighs the same in the fit, however few documents it has; every fourth document of a
+language is held out for the bit weights. Every document's whole text is scored.
 
 Defined results: a text of fewer than three bytes (null and empty ones too) has a null language and is ambiguous; without
 labelled rows all languages are null; with one language only, that is the prediction. Ties go to the language that comes
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import docs_of, fold, steps
@@ -28,6 +30,8 @@ from quarry.llm.linear import fit, folded_frequencies, gather, mean_weights
 from quarry.session import ship_package
 
 TRAIN_DOCS = 3000
+#: Labelled documents of each language in the sample, where there are so many languages that their share of TRAIN_DOCS is less.
+LEAST_DOCS = 8
 MARGIN = 0.25
 #: Shares of trigrams are small numbers; this brings them to a scale at which training is fast.
 SCALE = 50.0
@@ -46,7 +50,7 @@ def codewords(k: int, seed: int = 5) -> np.ndarray:
     for _ in range(200):
         code = rng.choice([-1, 1], (k, int(10 * np.ceil(np.log2(k)))))
         code = code[:, np.abs(code.sum(0)) < k]
-        d = min((code[i] != code[j]).sum() for i in range(k) for j in range(i))
+        d = (((code.shape[1] - code @ code.T) // 2) + np.eye(k, dtype=int) * code.shape[1]).min()
         if d > apart:
             best, apart = code, d
     return best
@@ -64,9 +68,11 @@ def train(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray,
     """Code, classifier weights (buckets by bits), intercepts and bit weights, of features and numbers of languages."""
     code = codewords(k)
     x = x * SCALE
-    held = np.arange(len(y)) % 4 == 3
+    held = np.zeros(len(y), bool)
+    for i in range(k):
+        held[np.flatnonzero(y == i)[3::4]] = True
     t = code[y] > 0
-    w, c = fit(x[~held], t[~held])
+    w, c = fit(x[~held], t[~held], 1 / np.bincount(y[~held], minlength=k)[y[~held]])
     right = ((x[held] @ w + c > 0) == t[held]).mean(0) if held.any() else np.ones(code.shape[1])
     return code, (w * SCALE).astype(np.float32), c, np.maximum(2 * right - 1, 0.01)
 
@@ -94,10 +100,13 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(doc_id, lang, margin, ambiguous) of every document, predicted from its text by a model of the documents' own lang column."""
     ship_package(docs.sparkSession)
     d = docs_of(docs, F.col("lang").cast("string").alias("lang"))
-    ids = d.where("lang is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
-    sample = d.where("lang is not null").join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "lang", "text")
-    rows, x = gather(sample, folded_frequencies)
-    langs = sorted({r[1] for r in rows})
+    known = d.where("lang is not null")
+    langs = sorted(r[0] for r in known.select("lang").distinct().collect())
+    each = max(LEAST_DOCS, train_docs // max(1, len(langs)))
+    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = known.select("doc_id", "lang").distinct().withColumn("k", F.row_number().over(w)).where(F.col("k") <= each).select("doc_id", "lang")
+    sample = known.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows, x = gather(sample, folded_frequencies) if len(langs) > 1 else ([], None)
     model = train(x, np.array([langs.index(r[1]) for r in rows]), len(langs)) if len(langs) > 1 else None
     return d.select("doc_id", "text").mapInArrow(_predict(langs, model), "doc_id long, lang string, margin double, ambiguous boolean")
 

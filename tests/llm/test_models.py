@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from quarry.llm import langid as L
 from quarry.llm import quality as Q
@@ -29,6 +30,17 @@ def test_language_of_held_out_documents(spark, docs, sf):
     assert len(got) == len(truth) and np.mean([got[d] == v for d, v in truth.items()]) > 0.95
 
 
+def test_a_language_outside_the_first_documents_is_known(spark, docs):
+    word = lambda i, j: "".join("qxzjkvw"[(i * 31 + j * 17 + n * (j + 3)) % 7] for n in range(6))
+    late = [r.id for r in spark.range(10_000, 10_200).orderBy(F.desc(F.xxhash64("id"))).limit(5).collect()]
+    rare = spark.createDataFrame([(d, " ".join(word(i, j) for j in range(80)), "rare") for i, d in enumerate(late)], "doc_id long, text string, lang string")
+    both = docs.select("doc_id", "text", "lang").unionByName(rare)
+    first = both.select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(20).collect()
+    assert "rare" not in {r.lang for r in first}
+    got = {r.doc_id: r.lang for r in L.identify(both, train_docs=20).collect()}
+    assert [got[d] for d in late] == ["rare"] * 5
+
+
 def test_language_of_odd_rows(odd, empty, spark):
     got = {r.doc_id: r for r in L.identify(odd).collect()}
     assert got[1].lang is None and got[1].ambiguous and got[4].ambiguous and got[7].lang == "en" and None not in got
