@@ -8,7 +8,8 @@ to the lists of their ranks. Merges never cross pre-tokens, so the result is tha
 
 Defined results: a null or empty text has no ids; every byte sequence has a symbol, so nothing is unknown, and decoding
 gives the very bytes back; strings of special tokens are ordinary text. Rows are encoded one by one, whatever their
-doc_id (null or repeated).
+doc_id (null or repeated). A text of any length is encoded whole; equal ranks can't be, so there are no ties. Other columns,
+whatever their names, are not looked at. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -198,11 +198,54 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def numbered(df) -> tuple:
+    """df with its columns named c0, c1 and so on, and the new name of each: whatever a table's columns are called, with dots, twice or like an operator's own, they can't clash."""
+    at = {}
+    for i, c in enumerate(df.columns):
+        at.setdefault(c, f"c{i}")
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), at
+
+
 def docs_of(df, *extra: str):
-    """doc_id (as a long) and text (as a string) of the rows that have a doc_id."""
+    """doc_id (as a long), text and further columns (as strings; null where df has none) of the rows that have a doc_id; one that is no number is none."""
+    from pyspark.sql import functions as F
+
+    t, at = numbered(df)
+    more = [F.col(at[c]).cast("string").alias(c) if c in at else F.lit(None).cast("string").alias(c) for c in extra]
+    return t.select(F.col(at["doc_id"]).try_cast("long").alias("doc_id"), F.col(at["text"]).cast("string").alias("text"), *more).where(F.col("doc_id").isNotNull())
+
+
+def once(df):
+    """df with one row of those that repeat a doc_id: the one with the least text (nulls after all), of these the least by all columns as JSON, whatever the order of rows. Rows without a doc_id stay as they are.
+
+    Only repeated rows are shuffled, and combined before that, so a doc_id of very many rows is no burden to a task.
+    """
     from pyspark.sql import functions as F
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra).where(F.col("doc_id").isNotNull())
+    from quarry.session import cut, small_side
+
+    t, at = numbered(df)
+    key = F.col(at["doc_id"])
+    again = cut(t.where(key.isNotNull()).groupBy(key.alias("again")).count().where("count > 1").select("again"), "again")
+    if again.isEmpty():
+        return df
+    again = small_side(again)
+    text = F.col(at["text"]).cast("string")
+    least = F.min_by(F.struct(*t.columns), F.struct(text.isNull().alias("none"), text.alias("text"), F.to_json(F.struct(*t.columns)).alias("row")))
+    more = t.join(again, key == F.col("again"), "left_semi").groupBy(key.alias("again")).agg(least.alias("row")).select("row.*")
+    return t.join(again, key == F.col("again"), "left_anti").unionByName(more).toDF(*df.columns)
+
+
+def prefixes(b: np.ndarray, s: np.ndarray, e: np.ndarray, sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size the words (their numbers) longer than so many bytes, and the hash of their first bytes; b: folded bytes, s and e: where words begin and end."""
+    h = np.zeros(len(s), np.uint64)
+    which, first = np.arange(len(s)), s
+    for j in range(max(sizes)):
+        long = e[which] - first > j + 1 if j + 1 in sizes else e[which] - first > j
+        which, first, h = which[long], first[long], h[long]
+        h = mix(h * _U(_MULT) + b[first + j].astype(np.uint64) + _U(1))
+        if j + 1 in sizes:
+            yield which, mix(h + _U(j))
 
 
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -222,3 +265,26 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
         rest = [batch.slice(first)]
     if rest:
         yield pa.Table.from_batches(rest)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Tables that hold whole groups of equal keys, of batches in their order."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        same = np.ones(batch.num_rows, bool)
+        for k in keys:
+            c = batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False)
+            same &= c == c[-1]
+        other = np.flatnonzero(~same)
+        cutoff = int(other[-1]) + 1 if len(other) else 0  # rows before it are of groups that end in this batch
+        if cutoff == 0 and rest and all(rest[-1].column(rest[-1].schema.get_field_index(k))[-1].as_py() == batch.column(batch.schema.get_field_index(k))[0].as_py() for k in keys):
+            rest.append(batch)
+            continue
+        done = [*rest, batch.slice(0, cutoff)] if cutoff else rest
+        if done:
+            yield pa.Table.from_batches(done)
+        rest = [batch.slice(cutoff)]
+    if rest:
+        yield pa.Table.from_batches(rest)

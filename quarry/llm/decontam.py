@@ -9,12 +9,13 @@ For each shard of about SHARD_WORDS words of whole documents: prefix doubling gi
 transform goes into a wavelet matrix with rank directories, all phrases are searched backwards side by side, and each
 occurrence walks back to the next sampled suffix position (every SAMPLE-th place and each place after a separator).
 Occurrences that overlap or touch are merged into the spans to remove. No text leaves its task, and there is no shuffle
-as long as the benchmark has at most SLICE_WORDS words; a larger one is searched slice by slice, and the slices' spans
-are merged.
+as long as the benchmark has at most SLICE_WORDS words; a larger one is searched slice by slice on the uncut text, and the slices'
+spans are merged.
 
 Defined results: rows without a doc_id are not reported, but remove_leaks() cuts them too; rows that repeat a doc_id give
 their spans once each; null and empty texts have no spans; an empty benchmark or table gives no rows. Where several items
-have a phrase, the span carries the least item_id (null if none has an id).
+have a phrase, the span carries the least item_id (null if none has an id). Other columns, whatever their names, are left as they are.
+A text of any length is searched whole, within one shard.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import docs_of, sorted_runs, steps, text_words, words
+from quarry.llm.common import docs_of, numbered, sorted_runs, steps, text_words, words
 from quarry.llm.substring import cut_text
-from quarry.session import ship_package
+from quarry.session import cut, drop_cut, ship_package
 
 PHRASE = 8
 MIN_ITEM = 5
@@ -293,28 +294,31 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"doc_id": d[first], "start_word": a[first], "end_word": z[last], "item_id": pa.array(least, mask=least == _NO_ITEM)})
 
 
-def _slices(benchmark: DataFrame, slice_words: int) -> list:
-    """What phrases_of() gives for each slice of the benchmark that is small enough to send to the executors."""
-    b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+def _slices(benchmark: DataFrame, slice_words: int) -> Iterator[tuple[bool, tuple]]:
+    """What phrases_of() gives for each slice of the benchmark that is small enough to send to the executors, one at a time, and whether it is the last."""
+    t, at = numbered(benchmark)
+    b = t.select(F.col(at["item_id"]).try_cast("long").alias("item_id"), F.col(at["text"]).cast("string").alias("text")).where("text is not null")
     size = b.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-size // (6 * slice_words)))
-    out = []
     for k in range(n):
         part = b if n == 1 else b.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
-        out.append(phrases_of([(r[0], r[1]) for r in part.toLocalIterator()]))
-    return out
+        yield k == n - 1, phrases_of([(r[0], r[1]) for r in part.toLocalIterator()])
 
 
 def leak_spans(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:
-    """(doc_id, start_word, end_word, item_id): the spans of each document that are made of phrases of the benchmark."""
+    """(doc_id, start_word, end_word, item_id): the spans of each document that are made of phrases of the benchmark.
+
+    The spans of each slice of a large benchmark are written before the next slice is built, so that the driver holds one.
+    """
     ship_package(docs.sparkSession)
     d = docs_of(docs)
-    parts = [d.mapInArrow(_report(bench), _SPANS) for bench in _slices(benchmark, slice_words)]
-    if len(parts) == 1:
-        return parts[0]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionAll(p)
+    both = None
+    for last, bench in _slices(benchmark, slice_words):
+        part = d.mapInArrow(_report(bench), _SPANS)
+        if last and both is None:
+            return part
+        part = cut(part, "slice")
+        both = part if both is None else both.unionAll(part)
     return both.repartition(F.col("doc_id")).sortWithinPartitions("doc_id", "start_word", "end_word").mapInArrow(_merge, _SPANS)
 
 
@@ -365,19 +369,26 @@ def _cutting(bench, last: bool):
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, slice_words: int = SLICE_WORDS) -> DataFrame:
-    """docs with the spans of leak_spans() cut out, and n_chars, where there is one, set to the new length. A document of which no word is left goes; the others stay."""
+    """docs with the spans of leak_spans() cut out, and n_chars, where there is one, set to the new length. A document of which no word is left goes; the others stay, with their other columns as they were."""
     ship_package(docs.sparkSession)
-    t = docs.withColumn("__q_text", F.col("text").cast("string")).withColumn("__q_spans", F.lit(None).cast("array<int>"))
+    d, at = numbered(docs)
+    text = at["text"]
+    t = d.withColumn("__q_text", F.col(text).cast("string")).withColumn("__q_spans", F.lit(None).cast("array<int>"))
     schema = t.drop("__q_spans").withColumn("__q_hit", F.lit(False)).schema
-    *others, bench = _slices(benchmark, slice_words)
-    for other in others:  # all slices look at the uncut text
-        t = t.mapInArrow(_cutting(other, False), t.schema)
-    t = t.mapInArrow(_cutting(bench, True), schema)
+    held = None
+    for last, bench in _slices(benchmark, slice_words):  # all slices look at the uncut text
+        if last:
+            t = t.mapInArrow(_cutting(bench, True), schema)
+        else:
+            new = cut(t.mapInArrow(_cutting(bench, False), t.schema), "slice")
+            drop_cut(held)
+            t = held = new
     t = t.where(~F.col("__q_hit") | F.col("__q_text").rlike(r"[\p{L}\p{N}]"))
-    new = t.withColumn("text", F.when(F.col("__q_hit"), F.col("__q_text")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.col("__q_hit"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return new.select(*docs.columns)
+    new = t.withColumn(text, F.when(F.col("__q_hit"), F.col("__q_text")).otherwise(F.col(text)))
+    if "n_chars" in at:
+        n = at["n_chars"]
+        new = new.withColumn(n, F.when(F.col("__q_hit"), F.length(text)).otherwise(F.col(n)).cast(d.schema[n].dataType))
+    return new.select(*d.columns).toDF(*docs.columns)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,9 +45,37 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"a": pa.array(nodes, pa.int64()), "b": pa.array([uf.find(x) for x in nodes], pa.int64())})
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+#: Edges that one task may hold, 16 bytes each; more are contracted between tasks, with the same result.
+LOCAL = 1_000_000
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of these edges and the least node of the component of each, by hooking and pointer jumping."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    up = np.arange(len(nodes))
+    while True:
+        p, q = up[x], up[y]
+        apart = p != q
+        if not apart.any():
+            return nodes, nodes[up]
+        np.minimum.at(up, np.maximum(p, q)[apart], np.minimum(p, q)[apart])
+        while not np.array_equal(up, up[up]):
+            up = up[up]
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches if batch.num_rows]
+    if parts:
+        node, root = roots(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        yield pa.record_batch({"node": node, "root": root})
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, local: int = LOCAL) -> DataFrame:
     """(node, root) for every node of an edge, root being the least node of its component; an edge of a node to itself or with a null is left out.
 
+    What partitions leave of their own edges is finished by one task if it is at most local edges.
+
     Each round is a large-star and a small-star step (Kiveris et al., 2014), which halve the depth of what is left; a
     round's edges are written to the shared folder. A component that has no end after so many rounds raises.
     """
@@ -55,6 +83,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     ship_package(spark)
     e = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     now = cut(e.mapInArrow(_forest, _SCHEMA).distinct(), "edges")
+    if now.count() <= local:
+        return now.coalesce(1).mapInArrow(_whole, "node long, root long")
     mark = None
     for _ in range(rounds):
         both = now.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))

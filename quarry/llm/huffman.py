@@ -7,7 +7,9 @@ Decoding looks LIMIT bits up in one table, for all blocks side by side.
 
 Defined results: a null or empty text has no ids, no bits and no checkpoints; rows without a doc_id are left out; rows that repeat a
 doc_id are coded one by one. If only one id occurs, its code is one bit long. An empty table gives no rows and an empty
-codebook. Ties in counts go to the lesser id, so the codebook is the same for any order of rows.
+codebook. Ties in counts go to the lesser id, so the codebook is the same for any order of rows. A text of any length is one bit string.
+An id takes two bytes between the steps, so a vocabulary of more than 65,536 ids is an error. Other columns, whatever their names,
+are not looked at.
 """
 
 from __future__ import annotations

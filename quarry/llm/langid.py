@@ -14,6 +14,7 @@ language is held out for the bit weights. Every document's whole text is scored.
 Defined results: a text of fewer than three bytes (null and empty ones too) has a null language and is ambiguous; without
 labelled rows all languages are null; with one language only, that is the prediction. Ties go to the language that comes
 first in the alphabet. Rows that repeat a doc_id are scored one by one; rows without a doc_id are left out.
+Other columns, whatever their names, are left as they are, and a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def _predict(langs: list[str], model):
 def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(doc_id, lang, margin, ambiguous) of every document, predicted from its text by a model of the documents' own lang column."""
     ship_package(docs.sparkSession)
-    d = docs_of(docs, F.col("lang").cast("string").alias("lang"))
+    d = docs_of(docs, "lang")
     known = d.where("lang is not null")
     langs = sorted(r[0] for r in known.select("lang").distinct().collect())
     each = max(LEAST_DOCS, train_docs // max(1, len(langs)))

@@ -15,6 +15,7 @@ Defined results: labels that contradict each other for a doc_id count as low qua
 value are left out; if there are no labels of both classes, every document has the score 1 and is kept. A null or empty
 text has the features of an empty one, and is scored by them. Rows without a doc_id are scored like all others; rows that repeat
 one are scored one by one. Ties in certainty go to the lesser doc_id. An empty table gives no rows.
+Other columns, whatever their names, are left as they are, and a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import steps, words
+from quarry.llm.common import numbered, steps, words
 from quarry.llm.linear import fit, frequencies, gather, mean_weights, sigmoid
 from quarry.session import cut, drop_cut, ship_package
 
@@ -140,15 +141,28 @@ def _final(score, blend):
 
 def _view(docs: DataFrame) -> DataFrame:
     """doc_id, source, lang and text as the models read them; columns that are missing are null."""
-    have = set(docs.columns)
-    pick = [F.col(c).cast("string").alias(c) if c in have else F.lit(None).cast("string").alias(c) for c in ("source", "lang", "text")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *pick)
+    d, at = numbered(docs)
+    pick = [F.col(at[c]).cast("string").alias(c) if c in at else F.lit(None).cast("string").alias(c) for c in ("source", "lang", "text")]
+    return d.select(F.col(at["doc_id"]).try_cast("long").alias("doc_id"), *pick)
+
+
+def choose(scores: DataFrame, sure: float, pseudo: int, taken: set[int]) -> dict[str, dict[int, float]]:
+    """For each view the documents that the other is most certain of, with their pseudo-labels: of scores (doc_id, t, m) at most so many of either class; those in taken are left out."""
+    extra: dict[str, dict[int, float]] = {"t": {}, "m": {}}
+    for mine, other in (("t", "m"), ("m", "t")):
+        for good in (1.0, -1.0):
+            best = scores.where((F.col(mine) * good >= sure) & (F.col(other) * good > -sure)).groupBy("doc_id").agg(F.max(F.col(mine) * good).alias("s"))
+            new = [r["doc_id"] for r in best.orderBy(F.desc("s"), "doc_id").limit(pseudo + len(taken)).collect() if r["doc_id"] not in taken]
+            for d in new[:pseudo]:
+                extra[other].setdefault(d, float(good > 0))
+    return extra
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS, pseudo: int = PSEUDO):
     """The scoring function of both views and how to blend them; None if there is nothing to learn from."""
     d = _view(docs)
-    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q")).where("doc_id is not null and q is not null").groupBy("doc_id").agg(F.min("q").alias("q"))
+    t, names = numbered(labels)
+    lab = t.select(F.col(names["doc_id"]).try_cast("long").alias("doc_id"), F.col(names["quality"]).cast("int").alias("q")).where("doc_id is not null and q is not null").groupBy("doc_id").agg(F.min("q").alias("q"))
     known = lab.join(d.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi")
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     rows, x = gather(d.join(F.broadcast(ids), "doc_id").select("doc_id", "q", "source", "lang", "text"), _both)
@@ -169,13 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, roun
         # all documents are scored, and labelled ones left out after that: three numbers a document are shuffled, and no text
         s = d.where("doc_id is not null").mapInArrow(_scores(_score(*models["t"], *models["m"])), "doc_id long, t double, m double")
         s = cut(s.join(lab, "doc_id", "left_anti"), "scores")
-        extra: dict[str, dict[int, float]] = {"t": {}, "m": {}}
-        for mine, other in (("t", "m"), ("m", "t")):
-            for good in (1.0, -1.0):
-                best = s.where((F.col(mine) * good >= sure) & (F.col(other) * good > -sure)).groupBy("doc_id").agg(F.max(F.col(mine) * good).alias("s"))
-                for r in best.orderBy(F.desc("s"), "doc_id").limit(pseudo + len(taken)).collect():
-                    if r["doc_id"] not in taken and sum(v == (good > 0) for v in extra[other].values()) < pseudo:
-                        extra[other][r["doc_id"]] = float(good > 0)
+        extra = choose(s, sure, pseudo, taken)
         drop_cut(s)
         want = {k: v for e in extra.values() for k, v in e.items()}
         if not want:
@@ -193,29 +201,27 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, roun
     return _score(*models["t"], *models["m"]), (float(max(w[0], 0)), float(max(w[1], 0)), float(c))
 
 
-def with_score(docs: DataFrame, labels: DataFrame, keep: list[str], **how) -> DataFrame:
-    """The kept columns of docs and __q_p, the probability that a document is of good quality."""
+def _with_score(docs: DataFrame, labels: DataFrame, keep: list[str], **how) -> DataFrame:
+    """The kept columns of docs, named as numbered() does, and __q_p, the probability that a document is of good quality."""
     ship_package(docs.sparkSession)
+    d, at = numbered(docs)
+    kept = [at[c] for c in keep] if keep else d.columns
     model = train(docs, labels, **how)
     if model is None:
-        return docs.select(*keep, F.lit(1.0).alias("__q_p"))
-    have = set(docs.columns)
-    pick = [(F.col(c) if c in have else F.lit(None)).cast("string").alias(n) for c, n in (("source", "source"), ("lang", "lang"), ("text", "__q_text"))]
-    kept = [F.col(c).alias(f"__q_{i}") for i, c in enumerate(keep)]
-    schema = docs.select(*kept).withColumn("__q_p", F.lit(0.5)).schema
-    out = docs.select(*kept, *pick).mapInArrow(_final(*model), schema)
-    return out.select(*[F.col(f"__q_{i}").alias(c) for i, c in enumerate(keep)], "__q_p")
+        return d.select(*kept, F.lit(1.0).alias("__q_p"))
+    pick = [(F.col(at[c]) if c in at else F.lit(None)).cast("string").alias(n) for c, n in (("source", "source"), ("lang", "lang"), ("text", "__q_text"))]
+    return d.select(*kept, *pick).mapInArrow(_final(*model), d.select(*kept).withColumn("__q_p", F.lit(0.5)).schema)
 
 
 def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """(doc_id, p_quality, keep) of every document."""
-    s = with_score(docs, labels, ["doc_id"], **how)
-    return s.select("doc_id", F.col("__q_p").alias("p_quality"), (F.col("__q_p") >= KEEP).alias("keep"))
+    s = _with_score(docs, labels, ["doc_id"], **how)
+    return s.select(F.col(s.columns[0]).alias("doc_id"), F.col("__q_p").alias("p_quality"), (F.col("__q_p") >= KEEP).alias("keep"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The documents whose score is KEEP or more, with all their columns."""
-    return with_score(docs, labels, docs.columns, **how).where(F.col("__q_p") >= KEEP).drop("__q_p")
+    return _with_score(docs, labels, [], **how).where(F.col("__q_p") >= KEEP).drop("__q_p").toDF(*docs.columns)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,12 +8,14 @@ hash of doc_id makes). In each round a document would move to the shard with the
 (ties: the least shard), if that is more than in its own; a hash of doc_id and round lets half of the documents move, so that
 two neighbours don't just change places. How much may move from one shard to another is set by quotas in
 bytes: as much as goes the opposite way, and a share of the room left below the capacity of (1 + SLACK) times the mean.
-Within a quota the greatest gains go first (ties: the least doc_id). As documents are not divisible, what would go is
+Within a quota the greatest gains go first (by quarters of their logarithm to base 2, then in the order of BUCKETS parts by a hash of doc_id,
+and within these by gain; ties: the least doc_id). As documents are not divisible, what would go is
 added up, and quotas into a shard shrink until none is above capacity, so no round makes a shard exceed it. A round's labels
 are written to the shared folder; the rounds end early if nothing would move in two of them.
 
 Defined results: a null or empty text weighs one byte and has no links; rows without a doc_id are left out; rows that
-repeat a doc_id are one document, as large as the largest; an empty table gives no rows.
+repeat a doc_id are one document, as large as the largest, with the lines of all; an empty table gives no rows. A text of any length
+is read whole, and a document larger than a shard's capacity stays where it is dealt. Other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ ROUNDS = 12
 SLACK = 0.05
 DEAL = 100_000
 LINE_WORDS = 6
+#: Parts by a hash of doc_id of the moves of like gain between two shards.
+BUCKETS = 64
 
 
 def _lines(least: int):
@@ -99,8 +103,8 @@ def deal(sizes: DataFrame, shards: int) -> DataFrame:
     return sizes.select("doc", "size", F.when(lap % 2 == 0, k).otherwise(shards - 1 - k).cast("int").alias("shard"))
 
 
-def _quotas(size: dict[int, int], asked: dict[tuple[int, int], int], capacity: float, shards: int, largest: int, taken) -> dict[tuple[int, int], float]:
-    """Bytes that may move from a shard to another: a bounded table of shards by shards. taken: what really moves under given quotas; largest: no moving document is larger."""
+def _quotas(size: dict[int, int], asked: dict[tuple[int, int], int], capacity: float, shards: int, largest: dict[tuple[int, int], int], taken) -> dict[tuple[int, int], float]:
+    """Bytes that may move from a shard to another: a bounded table of shards by shards. taken: what really moves under given quotas; largest: the largest document that moves, by shards."""
     room = {j: max(0.0, capacity - size.get(j, 0)) for j in range(shards)}
     into = {j: sum(v for (_, t), v in asked.items() if t == j) for j in range(shards)}
     share = {(i, j): room[j] * v / into[j] for (i, j), v in asked.items()}
@@ -119,12 +123,27 @@ def _quotas(size: dict[int, int], asked: dict[tuple[int, int], int], capacity: f
                 for i in range(shards):
                     if most.get((i, j)):
                         quota[i, j] = most[i, j] = most[i, j] * free / come * 0.999
-                        least[i, j] = max(0.0, min(least[i, j], most[i, j] - largest))
+                        least[i, j] = max(0.0, min(least[i, j], most[i, j] - largest[i, j]))
         if fine:
             return quota
     return share  # no exchange at all: what comes in fits the room even if nothing leaves
 
 
+def in_order(moves: DataFrame) -> DataFrame:
+    """moves (doc, own, to, size, gain) with sum, the bytes up to and with each in the order of its shard pair.
+
+    Sums are added up in two steps: over buckets of like gains and of a hash of doc_id, of which a pair of shards has a few
+    thousand whatever the table's size, and then within each bucket, so that no task has all the moves between two shards.
+    """
+    level = F.floor(F.log2("gain") * 4).cast("int").alias("level")
+    m = moves.select("doc", "own", "to", "size", "gain", level, F.pmod(F.xxhash64("doc", F.lit(-1)), F.lit(BUCKETS)).cast("int").alias("bucket"))
+    key = ["own", "to", "level", "bucket"]
+    before = Window.partitionBy("own", "to").orderBy(F.desc("level"), "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = m.groupBy(*key).agg(F.sum("size").alias("s")).select(*key, F.coalesce(F.sum("s").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy(*key).orderBy(F.desc("gain"), "doc").rowsBetween(Window.unboundedPreceding, 0)
+    return m.withColumn("part", F.sum("size").over(within)).join(sums, key).select("doc", "own", "to", "size", (F.col("before") + F.col("part")).alias("sum"))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK, least: int = LINE_WORDS) -> DataFrame:
     """(doc_id, shard, size) of every document."""
     spark = docs.sparkSession
@@ -142,9 +161,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: fl
         for r in moving.groupBy("shard").agg(F.sum("size").alias("s")).collect():
             size[r["shard"]] = size.get(r["shard"], 0) + r["s"]
         best = weights(lines, moving).groupBy("doc", "own", "size").agg(F.max_by("shard", F.struct("w", -F.col("shard"))).alias("to"), F.max("w").alias("top"), F.max(F.when(F.col("shard") == F.col("own"), F.col("w")).otherwise(0)).alias("here"))
-        w = Window.partitionBy("own", "to").orderBy(F.desc("gain"), "doc").rowsBetween(Window.unboundedPreceding, 0)
         moves = best.where("to <> own and top > here").where(F.pmod(F.xxhash64("doc", F.lit(t)), F.lit(2)) == 0).select("doc", "own", "to", "size", (F.col("top") - F.col("here")).alias("gain"))
-        moves = cut(moves.select("doc", "own", "to", "size", F.sum("size").over(w).alias("sum")), "moves")
+        moves = cut(in_order(moves), "moves")
 
         def table(quota: dict[tuple[int, int], float]) -> DataFrame:
             return F.broadcast(spark.createDataFrame([(i, j, float(v)) for (i, j), v in quota.items()], "own int, to int, quota double"))
@@ -161,7 +179,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: fl
                 break
             continue
         idle = 0
-        quota = _quotas(size, asked, capacity, shards, max(r["m"] for r in table_of), taken)
+        quota = _quotas(size, asked, capacity, shards, {(r["own"], r["to"]): r["m"] for r in table_of}, taken)
         go = moves.join(table(quota), ["own", "to"]).where("sum <= quota").select("doc", "to")
         new = cut(moving.join(go, "doc", "left").select("doc", "size", F.coalesce("to", "shard").alias("shard")), "labels")
         drop_cut(moving)

@@ -10,7 +10,9 @@ Copies of a whole document are settled by one hash of all its words, so that the
 
 Defined results: of equal runs the one in the least (doc_id, place) is the first and stays, whatever the order of rows;
 texts of fewer than MIN_WORDS words (null and empty ones too) have no repeated passage; rows without a doc_id are left
-alone; rows that repeat a doc_id are one document, so that they don't repeat each other. An empty table gives no rows.
+alone; rows that repeat a doc_id are one document, so that they don't repeat each other. An empty table gives no rows. A text of any
+length is read whole, and other columns, whatever their names, are left as they are. A passage is removed only where both its anchor and its
+whole run have equal 64-bit hashes, which are different sums over the words.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import buffers, docs_of, mix, signed, sorted_runs, steps, window_hashes, words
+from quarry.llm.common import buffers, docs_of, mix, numbered, signed, sorted_runs, steps, window_hashes, words
 from quarry.session import cut, ship_package, small_side
 
 MIN_WORDS = 50
@@ -64,21 +66,33 @@ def _anchors(least: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose hash is at two places at least (or whose document has a copy: twin), and whether theirs is the least; batches are in the order of hash, doc, place."""
-    for t in sorted_runs(batches, "hash"):
-        h, d, p = (t.column(c).to_numpy() for c in ("hash", "doc", "place"))
-        twin = t.column("twin").to_numpy(zero_copy_only=False)
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1])
-        h, d, p, twin = h[new], d[new], p[new], twin[new]
+    """Rows whose hash is at two places at least (or whose document has a copy: twin), and whether theirs is the least; batches are in the order of hash, doc, place. One row is held from batch to batch, however often a hash occurs."""
+    held = None  # the last row so far: hash, doc, place, and whether it waits for another of its hash
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        h, d, p = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("hash", "doc", "place"))
+        twin = batch.column(batch.schema.get_field_index("twin")).to_numpy(zero_copy_only=False)
+        waits = False
+        if held is not None:
+            h, d, p = np.append(held[0], h), np.append(held[1], d), np.append(held[2], p)
+            twin = np.append(False, twin)
+            waits = held[4]
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1]) | (p[1:] != p[:-1])
+        h, d, p, twin = h[fresh], d[fresh], p[fresh], twin[fresh]
         start = np.ones(len(h), bool)
         start[1:] = h[1:] != h[:-1]
-        if start.all() and not twin.any():
-            continue
-        at = np.flatnonzero(start)
-        run = np.cumsum(start) - 1
-        many = ((np.diff(np.append(at, len(h))) > 1) | np.logical_or.reduceat(twin, at))[run]
-        yield pa.record_batch({"doc": d[many], "place": p[many], "first": pa.array(start[many])})
+        if held is not None:
+            start[0] = held[3]
+        more = np.zeros(len(h), bool)  # another row of the hash follows
+        more[:-1] = ~start[1:]
+        emit = ~start | more | twin
+        if held is not None:
+            emit[0] = waits and more[0]
+        held = (h[-1:], d[-1:], p[-1:], bool(start[-1]), bool(start[-1] and not emit[-1]) if len(h) > 1 or held is None else waits and not emit[-1])
+        if emit.any():
+            yield pa.record_batch({"doc": d[emit], "place": p[emit].astype(np.int32), "first": pa.array(start[emit])})
 
 
 _SHARED = "doc long, place int, first boolean"
@@ -205,19 +219,21 @@ def remove_repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
     A document of which no word is left goes; all others stay, with their other columns as they were.
     """
+    d, at = numbered(docs)
+    text = at["text"]
     spans = repeated_spans(docs, least).where("removed").groupBy(F.col("doc_id").alias("__q_id")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("__q_spans"))
     spans = cut(spans, "spans")
-    key = F.col("doc_id").cast("long") == F.col("__q_id")
+    key = F.col(at["doc_id"]).try_cast("long") == F.col("__q_id")
     ids = small_side(spans.select("__q_id"))
-    clean = docs.join(ids, key, "left_anti")
-    hit = docs.join(ids, key, "left_semi").join(spans, key)
-    hit = hit.select(*docs.columns, F.col("text").cast("string").alias("__q_text"), "__q_spans")
+    clean = d.join(ids, key, "left_anti")
+    hit = d.join(ids, key, "left_semi").join(spans, key)
+    hit = hit.select(*d.columns, F.col(text).cast("string").alias("__q_text"), "__q_spans")
     schema = hit.drop("__q_spans").schema
     hit = hit.mapInArrow(_remove, schema).where(F.col("__q_text").rlike(r"[\p{L}\p{N}]"))
-    new = hit.withColumn("text", F.col("__q_text"))
-    if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.unionByName(new.drop("__q_text"))
+    new = hit.withColumn(text, F.col("__q_text"))
+    if "n_chars" in at:
+        new = new.withColumn(at["n_chars"], F.length(text).cast(d.schema[at["n_chars"]].dataType))
+    return clean.unionByName(new.drop("__q_text")).toDF(*docs.columns)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

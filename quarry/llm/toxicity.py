@@ -4,11 +4,13 @@ Voters look at the folded words of the whole text, and at the words after look-a
 as s and so on): five lexicons (insults, contempt, profanity, threats, dehumanising words), insulting phrases, an insult
 within three words of "you", two distinct lexicon words or more, lexicon words by length, and a disguised lexicon word. As no
 list covers every language, one more lexicon is mined from
-at most LABEL_DOCS labelled documents (the first in the order of a hash of their doc_id): the words that a likelihood
-ratio of MINED or more ties to toxic ones that aren't copies of each other; one voter asks for one of these words, one for two. Each voter votes 1 or
-abstains; how often it abstains in either class tells as well.
+at most LABEL_DOCS labelled documents (the first in the order of a hash of their doc_id): the words, and the beginnings of words of
+STEMS bytes, that a likelihood ratio of MINED or more ties to toxic ones that aren't copies of each other; one voter asks for one word that is
+or begins so, one for two. Each voter votes 1 or
+abstains; how often it abstains in either class tells as well, but only in languages (by the column lang) where it votes on one document in
+1 / COVERED or more: elsewhere it isn't asked.
 
-The counts of all vote patterns over all documents are what the label model is fitted to (a pattern is one of a bounded
+The counts of all vote patterns by language over all documents are what the label model is fitted to (a pattern is one of a bounded
 number, so they fit on the driver): expectation-maximisation estimates how often each voter casts each vote given either
 class, and the class share. What two voters share beyond the classes is measured as the correlation of their votes'
 residuals, and each voter's log-odds are divided by one plus the sum of its correlations, so that voters that repeat
@@ -20,6 +22,7 @@ and it scores every document.
 
 Defined results: a null or empty text has no votes; if no voter ever votes 1, all scores are 0;
 rows without a doc_id are left out; rows that repeat a doc_id are scored one by one; an empty table gives no rows.
+Other columns, whatever their names, are left as they are, and a text of any length is read whole.
 """
 
 from __future__ import annotations
@@ -31,14 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import docs_of, mix, steps, text_words, words
+from quarry.llm.common import docs_of, fold, mix, numbered, prefixes, steps, text_words, words
 from quarry.llm.linear import fit, sigmoid
 from quarry.session import cut, ship_package
 
 TRAIN_DOCS = 2000
 LABEL_DOCS = 12_000
-MINED = 12.0
+MINED = 10.0
+#: Least share of toxic ones among the labelled documents that have such a word.
+PURE = 0.97
+#: Bytes of the beginnings of words that are mined; only of longer words.
+STEMS = (5, 7)
 WORDS = 256
+#: Share of a language's documents that a voter must vote on for its abstaining to be evidence there.
+COVERED = 0.001
 TOXIC = 0.5
 
 LEXICONS = {
@@ -61,6 +70,11 @@ def _hashes(text: str) -> np.ndarray:
     return np.sort(text_words(text))
 
 
+def _stems(b: np.ndarray, w: tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and hashes of the beginnings of words, a size at a time."""
+    return prefixes(fold(b), w[1], w[2], STEMS)
+
+
 class Voters:
     """The voters' word lists as sorted hashes."""
 
@@ -71,11 +85,14 @@ class Voters:
         self.mild = _hashes(" ".join(sorted(MILD)))
         self.you = _hashes("you your youre u ur yourself")
         self.phrases = [text_words(p) for p in PHRASES]
-        self.known = np.unique(np.concatenate([self.all, mined, *self.phrases]))
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[(mined >> np.uint64(48)).astype(np.int64)] = True
+        self.known = np.unique(np.concatenate([self.all, *self.phrases]))
 
     def votes(self, b: np.ndarray, o: np.ndarray, w: tuple | None = None) -> np.ndarray:
         """Texts by voters, of 1, 0 and -1."""
-        h, _, _, ptr = words(b, o) if w is None else w
+        whole = words(b, o) if w is None else w
+        h, _, _, ptr = whole
         n = len(o) - 1
         out = np.zeros((n, len(VOTERS)), np.int8)
         maybe = np.zeros(1 << 16, bool)
@@ -125,8 +142,21 @@ class Voters:
                 new = g[maybe[(g >> np.uint64(48)).astype(np.int64)]]
                 new = new[np.isin(new, self.all) & ~np.isin(new, self.mild) & ~np.isin(new, plain)]
                 out[i, k + 4] = len(new) > 0
-        found = distinct(np.isin(x, self.mined))
-        out[:, k + 5], out[:, k + 6] = found >= 1, found >= 2
+        if len(self.mined):
+            of = np.repeat(np.arange(n), np.diff(ptr))
+            at = [np.flatnonzero(self._is_mined(h))]
+            for which, g in _stems(b, whole):
+                at.append(which[self._is_mined(g)])
+            at = np.unique(np.concatenate(at))
+            pairs = np.unique(np.stack((of[at].astype(np.uint64), h[at])), axis=1)
+            found = np.bincount(pairs[0].astype(np.int64), minlength=n)
+            out[:, k + 5], out[:, k + 6] = found >= 1, found >= 2
+        return out
+
+    def _is_mined(self, g: np.ndarray) -> np.ndarray:
+        out = self.maybe[(g >> np.uint64(48)).astype(np.int64)]
+        at = np.flatnonzero(out)
+        out[at] = np.isin(g[at], self.mined)
         return out
 
 
@@ -153,27 +183,29 @@ class LabelModel:
         self.table = np.zeros((2, m, 3))
         for _ in range(rounds):
             for y, r in ((0, (1 - q) * counts), (1, q * counts)):
-                for v in (-1, 0, 1):
+                for v in (0, 1):
                     self.table[y, :, v + 1] = ((votes == v) * r[:, None]).sum(0) + 0.5
-                self.table[y] /= self.table[y].sum(1, keepdims=True)
+                self.table[y, :, 1:] /= self.table[y, :, 1:].sum(1, keepdims=True)
+            self.table[:, :, 0] = 1.0  # not asked: no evidence
             self.share = float(np.clip((q * counts).sum() / counts.sum(), 1e-4, 0.5))
             # a voter never speaks for the class it votes against
             odds = np.log(self.table[1] / self.table[0])
-            odds[:, 2], odds[:, 0] = np.maximum(odds[:, 2], 0), np.minimum(odds[:, 0], 0)
+            odds[:, 2], odds[:, 1] = np.maximum(odds[:, 2], 0), np.minimum(odds[:, 1], 0)
             self.odds = odds
             self.damp = np.ones(m)
             q = self.posterior(votes)
         # residual correlations of votes, given the class
-        mean = self.table[:, :, 2] - self.table[:, :, 0]
+        mean = self.table[:, :, 2]
         cov = np.zeros((m, m))
         for y, r in ((0, (1 - q) * counts), (1, q * counts)):
-            e = votes - mean[y]
+            e = np.where(votes < 0, 0, votes - mean[y])
             cov += (e * r[:, None]).T @ e
         sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
         self.correlation = np.clip(cov / np.outer(sd, sd), -1, 1)
         np.fill_diagonal(self.correlation, 0)
         self.damp = 1 + np.maximum(self.correlation, 0).sum(1)
-        self.accuracy = (self.share * self.table[1, :, 2] + (1 - self.share) * self.table[0, :, 0]) / np.maximum(self.share * (1 - self.table[1, :, 1]) + (1 - self.share) * (1 - self.table[0, :, 1]), 1e-9)
+        hit = self.share * self.table[1, :, 2]
+        self.accuracy = hit / (hit + (1 - self.share) * self.table[0, :, 2])
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """Probability that a document with these votes is toxic."""
@@ -188,21 +220,26 @@ def _patterns(mined: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(mined)
         for batch, b, o in steps(batches):
-            yield pa.record_batch({"doc_id": batch.column(0), "code": pack(voters.votes(b, o))})
+            yield pa.record_batch({"doc_id": batch.column(0), "lang": batch.column(2), "code": pack(voters.votes(b, o))})
 
     return run
 
 
-def _sampled(mined: np.ndarray):
-    """Distinct words of each text, and its votes."""
+def _sampled(mined: np.ndarray, stems: bool = False):
+    """Distinct words of each text (and the beginnings of words), and its votes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Voters(mined)
         for batch, b, o in steps(batches):
             w = words(b, o)
-            ptr = w[3]
-            rows = [np.unique(w[0][i:j]).tobytes() for i, j in zip(ptr[:-1], ptr[1:], strict=True)]
-            yield pa.record_batch({"doc_id": batch.column(0), "code": pack(voters.votes(b, o, w)), "words": pa.array(rows, pa.binary())})
+            ptr, h = w[3], w[0]
+            if stems:
+                parts = [(np.arange(len(h)), h), *_stems(b, w)]
+                which, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+                order = np.argsort(which, kind="stable")
+                h, ptr = h[order], np.searchsorted(which[order], ptr)
+            rows = [np.unique(h[i:j]).tobytes() for i, j in zip(ptr[:-1], ptr[1:], strict=True)]
+            yield pa.record_batch({"doc_id": batch.column(0), "lang": batch.column(2), "code": pack(voters.votes(b, o, w)), "words": pa.array(rows, pa.binary())})
 
     return run
 
@@ -210,13 +247,14 @@ def _sampled(mined: np.ndarray):
 def mine(docs: DataFrame, labels: DataFrame, label_docs: int = LABEL_DOCS) -> np.ndarray:
     """Sorted hashes of the words that are tied to labelled toxic documents; of a doc_id's labels the greatest counts."""
     none = np.zeros(0, np.uint64)
-    d = docs_of(docs)
-    lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
+    d = docs_of(docs, "lang")
+    t, at = numbered(labels)
+    lab = t.select(F.col(at["doc_id"]).try_cast("long").alias("doc_id"), F.col(at["toxic"]).cast("int").alias("y")).where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
     ids = lab.join(d.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(label_docs)
     truth = {r["doc_id"]: r["y"] > 0 for r in ids.collect()}
     if len(set(truth.values())) < 2:
         return none
-    rows = d.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in truth], "doc_id long")), "doc_id", "left_semi").mapInArrow(_sampled(none), "doc_id long, code long, words binary").collect()
+    rows = d.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in truth], "doc_id long")), "doc_id", "left_semi").mapInArrow(_sampled(none, stems=True), "doc_id long, lang string, code long, words binary").collect()
     rows = list({r["words"]: r for r in sorted(rows, key=lambda r: -r["doc_id"])}.values())  # copies count once
     sets = [np.frombuffer(r["words"], np.uint64) for r in rows]
     y = np.array([truth[r["doc_id"]] for r in rows], float)
@@ -234,7 +272,7 @@ def mine(docs: DataFrame, labels: DataFrame, label_docs: int = LABEL_DOCS) -> np
     order = np.argsort(back, kind="stable")
     at = np.searchsorted(back[order], np.arange(len(u) + 1))
     out = []
-    for k in np.flatnonzero((g >= MINED) & (a / n >= 0.9)):
+    for k in np.flatnonzero((g >= MINED) & (a / n >= PURE)):
         who = owner[order[at[k] : at[k + 1]]]
         who = who[y[who] > 0]
         alone = min(len(np.unique(row[who])) for row in least)
@@ -295,14 +333,35 @@ def _classify(model: Classifier | None, mined: np.ndarray):
     return run
 
 
-def label_model(docs: DataFrame, mined: np.ndarray) -> tuple[LabelModel | None, DataFrame]:
-    """The label model of all documents' votes, and the vote pattern of each."""
+class Asked:
+    """Which voters are asked in which language, of the counts of vote patterns."""
+
+    def __init__(self, rows: list) -> None:
+        votes = unpack(np.array([r["code"] for r in rows]))
+        count = np.array([r["count"] for r in rows], float)[:, None]
+        self.covered = {}
+        for name in {r["lang"] for r in rows}:
+            at = np.array([r["lang"] == name for r in rows])
+            self.covered[name] = ((votes[at] > 0) * count[at]).sum(0) >= COVERED * count[at].sum()
+
+    def votes(self, langs: list, codes: np.ndarray) -> np.ndarray:
+        """Votes of patterns: 1, 0 where a voter abstains, -1 where it isn't asked."""
+        v = unpack(codes)
+        asked = np.array([self.covered.get(x, np.zeros(v.shape[1], bool)) for x in langs]).reshape(v.shape)
+        return np.where(v > 0, 1, np.where(asked, 0, -1))
+
+
+def label_model(docs: DataFrame, mined: np.ndarray) -> tuple[LabelModel | None, Asked | None, DataFrame]:
+    """The label model of all documents' votes, which voters were asked, and the vote pattern of each document, a written table."""
     ship_package(docs.sparkSession)
-    t = cut(docs_of(docs).mapInArrow(_patterns(mined), "doc_id long, code long"), "votes")
-    counts = t.groupBy("code").count().orderBy("code").collect()
+    t = docs_of(docs, "lang").mapInArrow(_patterns(mined), "doc_id long, lang string, code long")
+    t = cut(t.withColumn("lang", F.coalesce("lang", F.lit(""))), "votes")
+    counts = t.groupBy("lang", "code").count().orderBy("lang", "code").collect()
     if not counts:
-        return None, t
-    return LabelModel(unpack(np.array([r["code"] for r in counts])), np.array([r["count"] for r in counts])), t
+        return None, None, t
+    asked = Asked(counts)
+    votes = asked.votes([r["lang"] for r in counts], np.array([r["code"] for r in counts]))
+    return LabelModel(votes, np.array([r["count"] for r in counts])), asked, t
 
 
 def score(docs: DataFrame, labels: DataFrame | None = None, train_docs: int = TRAIN_DOCS) -> DataFrame:
@@ -310,21 +369,21 @@ def score(docs: DataFrame, labels: DataFrame | None = None, train_docs: int = TR
     spark = docs.sparkSession
     ship_package(spark)
     mined = np.zeros(0, np.uint64) if labels is None else mine(docs, labels)
-    model, t = label_model(docs, mined)
+    model, asked, t = label_model(docs, mined)
     final = None
     if model is not None and not model.none:
-        codes = np.array([r[0] for r in t.select("code").distinct().collect()])
-        p = model.posterior(unpack(codes))
-        likely = spark.createDataFrame([(int(c), bool(x >= 0.5)) for c, x in zip(codes, p, strict=True)], "code long, likely boolean")
+        seen = t.select("lang", "code").distinct().collect()
+        p = model.posterior(asked.votes([r["lang"] for r in seen], np.array([r["code"] for r in seen])))
+        likely = spark.createDataFrame([(r["lang"], r["code"], bool(x >= 0.5)) for r, x in zip(seen, p, strict=True)], "lang string, code long, likely boolean")
         ids = None
         for side in (True, False):
-            part = t.join(F.broadcast(likely.where(F.col("likely") == side)), "code").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
+            part = t.join(F.broadcast(likely.where(F.col("likely") == side)), ["lang", "code"]).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
             ids = part if ids is None else ids.unionAll(part)
         ids = cut(ids, "sample")
-        rows = docs_of(docs).join(F.broadcast(ids.distinct()), "doc_id", "left_semi").mapInArrow(_sampled(mined), "doc_id long, code long, words binary").collect()
-        rows.sort(key=lambda r: (r["doc_id"], r["code"]))
-        votes = unpack(np.array([r["code"] for r in rows]))
-        final = Classifier(votes.astype(np.float32), [np.frombuffer(r["words"], np.uint64) for r in rows], model.posterior(votes))
+        rows = docs_of(docs, "lang").join(F.broadcast(ids.distinct()), "doc_id", "left_semi").mapInArrow(_sampled(mined), "doc_id long, lang string, code long, words binary").collect()
+        rows.sort(key=lambda r: (r["doc_id"], r["lang"] or "", r["code"], r["words"]))
+        codes = np.array([r["code"] for r in rows])
+        final = Classifier(unpack(codes).astype(np.float32), [np.frombuffer(r["words"], np.uint64) for r in rows], model.posterior(asked.votes([r["lang"] or "" for r in rows], codes)))
     return docs_of(docs).mapInArrow(_classify(final, mined), "doc_id long, p_toxic double, toxic boolean")
 
 

@@ -10,7 +10,8 @@ from quarry.llm.graph import components
 
 def test_components_of_paths_stars_and_loops(spark):
     e = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 110)] + [(7, 7), (None, 3), (200, 201), (201, 202), (202, 200)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(e, "a long, b long"), local=0).collect()}
+    assert got == {r.node: r.root for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
     assert {got[i] for i in range(41)} == {0} and {got[i] for i in range(100, 110)} == {100} and got[202] == 200
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
@@ -48,7 +49,7 @@ def test_near_groups_against_brute_force(spark, docs, sf):
     s = dict(zip(rows.doc_id, sets(rows.text), strict=True))
     ids = sorted(s)
     sim = lambda a, b: len(s[a] & s[b]) / max(1, len(s[a] | s[b]))
-    want = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sim(a, b) >= 0.55]
+    want = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sim(a, b) >= M.THRESHOLD]
     found = sum(group.get(a, -1) == group.get(b, -2) for a, b in want)
     assert want and found >= 0.9 * len(want)
     for d in group:  # no clean document is in a group
@@ -135,3 +136,34 @@ def test_repeats_in_odd_rows(odd, empty):
     text = {r.doc_id: r for r in left.collect()}
     assert text[8].text == "d e " and text[8].n_chars == 4 and 9 not in text and text[7].text.startswith("a b passage0") and text[None].text.endswith("null id") and text[1].text is None
     assert S.repeated_spans(empty).count() == 0 and S.remove_repeats(empty).count() == 0
+
+
+def test_shared_rows_are_found_across_batches():
+    import pyarrow as pa
+
+    rows = sorted([(5, d, p, False) for d, p in ((1, 2), (1, 9), (3, 0), (3, 0), (7, 7))] + [(1, 1, 1, False), (2, 4, 4, True), (8, 1, 3, False), (8, 1, 3, False), (9, 2, 2, False), (9, 2, 5, False)])
+    want = {(1, 2, True), (1, 9, False), (3, 0, False), (7, 7, False), (4, 4, True), (2, 2, True), (2, 5, False)}
+    for size in (1, 2, 3, 20):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.record_batch({"hash": pa.array([r[0] for r in x], pa.int64()), "doc": pa.array([r[1] for r in x], pa.int64()), "place": pa.array([r[2] for r in x], pa.int32()), "twin": pa.array([r[3] for r in x])}) for x in parts]
+        got = [tuple(r.values()) for b in S._shared(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want), size
+
+
+def test_rows_that_repeat_an_id_with_other_texts_are_one_whatever_their_order(spark):
+    w = lambda s, n=60: " ".join(f"{s}{i}" for i in range(n))
+    rows = [(5, w("b"), 1), (5, w("a"), 2), (5, w("a"), 1), (8, w("b"), 1), (9, w("a"), 1), (None, w("a"), 1), (None, w("a"), 1)]
+    seen = []
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(order, "doc_id long, text string, `n.o` int")
+        seen.append((sorted(map(tuple, M.near_groups(df).collect())), sorted(map(str, M.deduplicate(df).collect()))))
+    assert seen[0] == seen[1] == seen[2] and seen[0][0] == [(5, 5, True), (9, 5, False)]
+    assert len(seen[0][1]) == 4 and sum("n.o=1" in x and "doc_id=5" in x for x in seen[0][1]) == 1
+
+
+def test_a_document_in_many_pairs_is_dealt_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART", 5)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(k, " ".join([*base[:k], f"x{k}", *base[k + 1 :]])) for k in range(40)] + [(100, "none like it at all")]
+    got = {r.doc_id: r.group_id for r in M.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(range(40), 0)

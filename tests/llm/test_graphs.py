@@ -72,39 +72,81 @@ def test_an_edit_changes_few_signs():
     assert len(C.signature(c, C.rolling(c), 3 * 2**14)) >= 1
 
 
+def links_of(rows):
+    """Every link of the result, once what its rows say of them is seen to agree."""
+    links = [(r.doc_id, x.match_id, x.score) for r in rows for x in r.links or []]
+    of = {}
+    for a, b, s in links:
+        of.setdefault(a, []).append((-s, b))
+        of.setdefault(b, []).append((-s, a))
+    for r in rows:
+        if r.doc_id != r.class_id:
+            assert (r.n_links, r.match_id, r.score, r.links) == (1, r.class_id, 100, None)
+            links.append((r.doc_id, r.class_id, 100))
+        else:
+            assert r.n_links == len(of.get(r.doc_id, [])) and ((-r.score, r.match_id) == min(of[r.doc_id]) if r.n_links else r.match_id is None)
+    return sorted(links)
+
+
+def all_links(prints, classes):
+    """Links by brute force: of all pairs of representatives, and of each other document to its own."""
+    reps = sorted(set(classes.values()))
+    pairs = [(b, a) for i, a in enumerate(reps) for b in reps[i + 1 :]]
+    scores = C.compare([prints[a] for a, _ in pairs], [prints[b] for _, b in pairs])
+    return sorted([(a, b, int(s)) for (a, b), s in zip(pairs, scores, strict=True) if s >= C.MATCH] + [(d, r, 100) for d, r in classes.items() if d != r])
+
+
+def classes_of(prints):
+    least = {}
+    for d in sorted(prints):
+        least.setdefault(prints[d] if prints[d][1] else d, d)
+    return {d: least[prints[d] if prints[d][1] else d] for d in prints}
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
-def test_closest_against_all_pairs(which, request):
+def test_matches_against_all_pairs(which, request):
     df = request.getfixturevalue(which)
-    got = {r.doc_id: (r.match_id, r.score) for r in C.closest(df).collect()}
+    got = C.matches(df).collect()
     prints = {r.doc_id: (r.block, r.sig, r.sig2) for r in C.fingerprints(df).collect()}
-    ids = sorted(prints)
-    pairs = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]]
-    scores = C.compare([prints[a] for a, _ in pairs], [prints[b] for _, b in pairs])
-    best = {}
-    for (a, b), s in zip(pairs, scores, strict=True):
-        if prints[a] == prints[b] and prints[a][1]:
-            s = 100
-        if s >= C.MATCH:
-            for x, y in ((a, b), (b, a)):
-                best[x] = max(best.get(x, (-1, 0)), (int(s), -y))
-    want = {d: (-best[d][1], best[d][0]) if d in best else (None, None) for d in ids}
-    # of fingerprints that are equal the match is within them
-    assert got == want
-
-
-def test_all_scored_pairs_of_families_of_copies_are_in_the_result(spark):
+    classes = classes_of(prints)
+    assert links_of(got) == all_links(prints, classes) != []
+    assert {r.doc_id: r.class_id for r in got} == classes and len(got) == len(classes)
+    assert all(r.fingerprint == "{}:{}:{}".format(*prints[r.doc_id]) for r in got)
+
+
+@pytest.mark.parametrize("block", [3, 25, 2000])
+def test_large_families_of_near_copies_keep_every_link(spark, block):
+    r = random.Random(7)
+    base = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(500)]
+    rows = []
+    for k in range(70):  # more than are paired one by one, and more than a block
+        w = list(base)
+        for _ in range(3):
+            w[r.randrange(500)] = f"edit{r.randrange(10**6)}"
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, rows[k % 70][1]) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prints = {x.doc_id: (x.block, x.sig, x.sig2) for x in C.fingerprints(df).collect()}
+    assert links_of(C.matches(df, block=block).collect()) == all_links(prints, classes_of(prints))
+
+
+def test_families_of_copies_that_are_near_copies_of_each_other(spark):
     r = random.Random(2)
     a = " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(600))
     b, c = a[:1500] + " another passage here " + a[1500:], a[:3000] + " one more change " + a[3000:]
-    df = spark.createDataFrame([(1, a), (2, a), (3, b), (4, b), (5, c), (6, "x")], "doc_id long, text string")
-    got = {r.doc_id: {(m.match_id, m.score) for m in r.matches or []} for r in C.closest(df).collect()}
-    prints = {r.doc_id: (r.block, r.sig, r.sig2) for r in C.fingerprints(df).collect()}
-    pairs = [(1, 3), (1, 5), (3, 5)]
-    scores = C.compare([prints[x] for x, _ in pairs], [prints[y] for _, y in pairs]).tolist()
-    assert min(scores) >= C.MATCH
-    want = {(x, y, s) for (x, y), s in zip(pairs, scores, strict=True)} | {(1, 2, 100), (3, 4, 100)}
-    assert {(d, m, s) for d, ms in got.items() for m, s in ms} == want | {(y, x, s) for x, y, s in want}
+    df = spark.createDataFrame([(1, a), (2, a), (3, b), (4, b), (5, c), (6, "x"), (7, None), (8, "")], "doc_id long, text string")
+    got = C.matches(df).collect()
+    assert {(x, y) for x, y, _ in links_of(got)} == {(2, 1), (4, 3), (3, 1), (5, 1), (5, 3)}
+    assert {x.doc_id: x.class_id for x in got} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7, 8: 8}
+
+
+def test_a_repeated_id_is_one_document_by_its_least_fingerprint(spark):
+    r = random.Random(3)
+    t = [" ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(400)) for _ in range(2)]
+    rows = [(1, t[0]), (1, t[1]), (2, t[0]), (3, t[1])]
+    got = [sorted(map(str, C.matches(spark.createDataFrame(o, "doc_id long, text string")).collect())) for o in (rows, rows[::-1])]
+    assert got[0] == got[1] and len(got[0]) == 3
 
 
-def test_closest_of_nothing(empty):
-    assert C.closest(empty).count() == 0
+def test_matches_of_nothing(empty):
+    assert C.matches(empty).count() == 0

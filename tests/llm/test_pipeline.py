@@ -17,5 +17,19 @@ def test_stages_keep_the_columns_and_act(spark, docs, sf):
     assert texts == {r.doc_id: r.text for r in d.collect()}
 
 
-def test_run_is_the_stages_one_after_another(spark, sf):
-    assert P.run(spark, sf).count() > 0 and 4 <= len(P.STAGES) <= 5
+def test_run_is_the_stages_one_after_another(spark, docs, sf):
+    d = docs
+    for _, stage in P.STAGES:
+        d = stage(spark, d, sf)
+    rows = lambda x: sorted((r.doc_id, tuple(r.token_ids)) for r in x.collect())
+    assert rows(P.run(spark, sf)) == rows(d) and 4 <= len(P.STAGES) <= 5
+
+
+def test_run_over_odd_and_empty_tables(spark, odd, empty, labels, tmp_path):
+    for name, df in (("odd", odd), ("empty", empty)):
+        d = tmp_path / name
+        df.write.parquet(f"{d}/documents.parquet")
+        labels.write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        got = P.run(spark, str(d))
+        assert got.where("not round_trip").count() == 0 and (got.count() > 5) == (name == "odd")
