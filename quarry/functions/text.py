@@ -62,6 +62,40 @@ def toc_norm(c: Column) -> Column:
     return dense(F.regexp_replace(strip(c), r"(?U)^(?:[-–—∙·▪]\s*)?(?:\d{1,3}(?:-\d{1,3})?\s*[.)]?\s*)?", ""))
 
 
+def boundary_norm(c: Column) -> Column:
+    """A title without its number and white space, for comparing detected with declared ones."""
+    return dense(F.regexp_replace(strip(c), r"^\d+\.\s*", ""))
+
+
+def probe_norm(c: Column) -> Column:
+    """For looking up pieces of a source in its chunks: without white space, bars, dots, brackets and quotes; digits stay."""
+    return F.regexp_replace(c, "(?U)[\\s|․·⋅‧,.\\-()\\[\\]【】〔〕:;'\"]+", "")
+
+
+_HEADER_LINE = r"(?U)^(?:\[.*\]|제\s*\d+\s*조\([^)]*\)|【[^】]*】.*|별표\s*\d+\s*.*)$"
+
+
+def body_of(content: Column) -> Column:
+    """A chunk's text without its prefix line, where that has bars but is no row of a table, and the header lines after it; the whole where nothing is left."""
+    ls = F.split(content, "\n")
+    first = F.get(ls, F.lit(0))
+    skip = (F.contains(first, F.lit(" | ")) & ~F.rlike(first, F.lit(r"^\s*\|"))).cast("int")
+    rest = F.slice(ls, skip + 1, F.greatest(F.size(ls) - skip, F.lit(0)))
+    at = F.array_position(F.transform(rest, lambda x: F.rlike(strip(x), F.lit(_HEADER_LINE))), False).cast("int")
+    body = strip(F.array_join(F.when(at > 0, F.slice(rest, at, F.size(rest))).otherwise(F.array().cast("array<string>")), "\n"))
+    return F.when(body == "", content).otherwise(body)
+
+
+def section_kind(section: Column) -> Column:
+    """별표, 특별약관 or 보통약관, by what a section's label says."""
+    return F.when(F.startswith(section, F.lit("별표")) | F.contains(section, F.lit("분류표")), "별표").when(F.contains(section, F.lit("특별약관")) | F.contains(section, F.lit("특약")), "특별약관").otherwise("보통약관")
+
+
+def cache_name(base: str, question_set: str, variant: str = "", default: str = "questions") -> str:
+    """Name of a cache: the base, the question set unless it is the default one, and the variant."""
+    return "_".join([base, *([] if question_set == default else [question_set]), *([variant] if variant else [])])
+
+
 def strip_fences(c: Column) -> Column:
     """Without the marks of a fenced code block around it."""
     return strip(F.regexp_replace(c, r"(?m)^\s*```[A-Za-z]*\s*$", ""))

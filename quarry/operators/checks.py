@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.functions.text import double_spaces, probe_norm
+
 CHUNK_TYPES = ["general", "definition", "coverage", "exclusion", "claim", "duty", "termination", "special_clause", "schedule"]
 
 
@@ -37,11 +41,25 @@ def probes(text: Column, size: int = 12, step: int = 40) -> Column:
     return F.when(F.length(text) >= size, F.transform(F.sequence(F.lit(1), F.length(text) - size + 1, F.lit(step)), lambda i: F.substr(text, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
 
 
-def coverage(source: DataFrame, chunks: DataFrame, key: str, text: str = "text", chunk_text: str = "chunk_text") -> DataFrame:
-    """Share of each source text's probes that its chunks contain: (key, probes, found)."""
-    whole = chunks.groupBy(key).agg(F.concat_ws(" ", F.sort_array(F.collect_list(chunk_text))).alias("__all"))
-    p = source.join(whole, key, "left").select(key, "__all", F.explode(probes(F.col(text))).alias("p"))
-    return p.groupBy(key).agg(F.count("*").alias("probes"), F.count_if(F.coalesce(F.contains("__all", "p"), F.lit(False))).alias("found"))
+def coverage(source: DataFrame, chunks: DataFrame, key: str, order: str, page: str | None = None, text: str = "text", chunk_text: str = "chunk_text", norm: Callable[[Column], Column] = probe_norm) -> DataFrame:
+    """(key, page, probes, found): how many of each source text's probes its chunks contain, joined in their order. Both sides are normalised.
+
+    With page, a text is looked up in the chunks of its page and of those before and after it, as a chunk may begin on one and end on the next.
+    """
+    by = [key] + ([page] if page else [])
+    whole = chunks.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, chunk_text))), lambda x: x[chunk_text]), "").alias("__t"))
+    if page:
+        near = whole.select(key, F.col(page).alias("__p"), "__t", F.explode(F.sequence(F.col(page) - 1, F.col(page) + 1)).alias(page))
+        whole = near.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__p", "__t"))), lambda x: x["__t"]), "").alias("__t"))
+    p = source.select(*by, norm(F.col(text)).alias("__s")).join(whole.select(*by, norm(F.col("__t")).alias("__all")), by, "left")
+    hits = F.transform(probes(F.col("__s")), lambda x: F.coalesce(F.contains("__all", x), F.lit(False)))
+    return p.select(*by, F.size(hits).cast("long").alias("probes"), F.size(F.filter(hits, lambda h: h)).cast("long").alias("found")).where("probes > 0")
+
+
+def worst(covered: DataFrame, key: str, page: str, most: float = 0.5, k: int = 5) -> DataFrame:
+    """The k pages of each document that miss most of their probes, of those that miss more than the share most; ties by page."""
+    c = covered.select(key, page, F.round(1 - F.col("found") / F.col("probes"), 6).alias("missing")).where(F.col("missing") > most)
+    return c.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("missing"), page))).where(F.col("rank") <= k)
 
 
 def ragged(markdown: Column) -> Column:
@@ -50,6 +68,65 @@ def ragged(markdown: Column) -> Column:
     return F.when(F.size(n) >= 2, F.array_max(n) - F.array_min(n) > 1)
 
 
+def ragged_ratio(chunks: DataFrame, *by: str, content: str = "content") -> DataFrame:
+    """(by, tables, ragged): chunks with two rows of a pipe table or more, and the share of them whose rows differ by more than one in their bars."""
+    rows = F.filter(F.split(content, "\n"), lambda x: F.rlike(x, F.lit(r"^\s*\|")))
+    bars = F.transform(rows, lambda x: F.length(x) - F.length(F.replace(x, F.lit("|"), F.lit(""))))
+    t = chunks.select(*by, bars.alias("__n")).where(F.size("__n") >= 2)
+    return t.groupBy(*by).agg(F.count("*").alias("tables"), F.round(F.avg((F.array_max("__n") - F.array_min("__n") > 1).cast("double")), 3).alias("ragged"))
+
+
+def page_recall(source: DataFrame, found: DataFrame, doc: str, page: str) -> DataFrame:
+    """(doc, recall): share of a document's pages with a table in the source that have one among the chunks, too."""
+    s = source.select(doc, page).distinct().join(found.select(doc, page, F.lit(1).alias("__f")).distinct(), [doc, page], "left")
+    return s.groupBy(doc).agg(F.round(F.count("__f") / F.count("*"), 3).alias("recall"))
+
+
+def win_rate(best: DataFrame, candidates: DataFrame, doc: str = "doc", source: str = "vlm", against: str = "pymupdf") -> DataFrame:
+    """(doc, pages, win_rate, gain): how often the best table of a page is from a source, and by how many runs of blanks the best is below the other source's table, on average."""
+    other = candidates.where(F.col("source") == against).groupBy(doc, "page").agg(F.min(double_spaces(F.col("markdown"))).alias("__o"))
+    b = best.join(other, [doc, "page"], "left")
+    return b.groupBy(doc).agg(F.count("*").alias("pages"), F.round(F.avg((F.col("source") == source).cast("double")), 3).alias("win_rate"), F.round(F.avg(F.col("__o") - double_spaces(F.col("markdown"))), 1).alias("gain"))
+
+
+def adoption(best: DataFrame, *by: str, source: str = "source") -> DataFrame:
+    """(by, source, n): how many tables of each source were taken."""
+    return best.groupBy(*by, source).agg(F.count("*").alias("n"))
+
+
+def match_rate(titles: DataFrame, sections: DataFrame, doc: str, title: str = "title", section: str = "section") -> DataFrame:
+    """(doc, rate, missing): share of a document's titles that are in one of its sections' labels or have one in them, to three places, and the sorted titles without. Both sides are normalised titles; empty ones don't count."""
+    t = titles.where(F.col(title) != "").select(doc, title).distinct()
+    s = sections.where(F.col(section) != "").select(doc, section).distinct()
+    hit = t.join(s, (t[doc] == s[doc]) & (F.contains(title, section) | F.contains(section, title)), "left_semi").withColumn("__h", F.lit(1))
+    j = t.join(hit, [doc, title], "left")
+    return j.groupBy(doc).agg(F.round(1 - F.count_if(F.col("__h").isNull()) / F.count("*"), 3).alias("rate"), F.array_sort(F.collect_list(F.when(F.col("__h").isNull(), F.col(title)))).alias("missing"))
+
+
+def against_baseline(scores: DataFrame, baseline: DataFrame, key: str, score: str = "score", base: str = "base") -> DataFrame:
+    """scores with the baseline of each key and what they are above it (null where there is none)."""
+    return scores.join(baseline.select(key, base), key, "left").withColumn("delta", F.round(F.col(score) - F.col(base), 3))
+
+
+def baseline_summary(compared: DataFrame, score: str = "score", base: str = "base") -> DataFrame:
+    """One row: mean score, mean baseline (a missing one counts as 0), and the difference."""
+    return compared.where(F.col(score).isNotNull()).agg(F.avg(score).alias("s"), F.avg(F.coalesce(base, F.lit(0.0))).alias("b")).select(F.round("s", 3).alias("score"), F.round("b", 3).alias("base"), F.round(F.col("s") - F.col("b"), 3).alias("delta"))
+
+
+def duplicate_suspicion(chunks: DataFrame, *by: str, content: str = "content", size: int = 200) -> DataFrame:
+    """(by, chunks, duplicates): chunks whose first normalised characters an earlier one of the group has."""
+    k = F.xxhash64(F.substring(probe_norm(F.coalesce(content, F.lit(""))), 1, size)), F.md5(F.substring(probe_norm(F.coalesce(content, F.lit(""))), 1, size))
+    n = chunks.groupBy(*by, k[0].alias("__h"), k[1].alias("__k")).agg(F.count("*").alias("__n"))
+    return n.groupBy(*by).agg(F.sum("__n").alias("chunks"), F.sum(F.col("__n") - 1).alias("duplicates"))
+
+
+def adjacent_duplicates(chunks: DataFrame, key: str, order: list[str], content: str = "content", least: int = 30) -> DataFrame:
+    """(key, dup): pairs of equal texts of more than least characters, one of which is the next or the next but one after the other."""
+    w, c = Window.partitionBy(key).orderBy(*order), F.col(content)
+    same = [F.coalesce((c == F.lead(content, i).over(w)) & (F.length(c) > least), F.lit(False)).cast("long") for i in (1, 2)]
+    return chunks.select(key, (same[0] + same[1]).alias("__d")).groupBy(key).agg(F.sum("__d").alias("dup"))
+
+
 def issues(content: Column, tokens: Column, chunk_type: Column, *required: Column) -> Column:
     """Reasons why a chunk is dropped (blank, tiny) or a warning is due (missing, type, long)."""
     missing = F.lit(False)
@@ -93,6 +170,16 @@ def restore_rate(chunks: DataFrame, *by: str) -> DataFrame:
     return c.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg(F.col("article_no").isNotNull().cast("double")), 6).alias("restored"))
 
 
+def adjusted_restore_rate(chunks: DataFrame, order: list[str], doc: str = "doc_hash") -> DataFrame:
+    """One row (total, restored, appendix, first, other, adjusted): chunks with a section, other than tables, by whether they have an article and why not; adjusted is the share restored of those that should have one."""
+    w = Window.partitionBy(doc).orderBy(*order)
+    first = ~F.col("section").eqNullSafe(F.lag("section").over(w)) | (F.row_number().over(w) == 1)
+    c = chunks.withColumn("__first", first).where("section is not null and not is_table")
+    none, app = F.col("article_no").isNull(), F.contains("section", F.lit("별표"))
+    n = c.agg(F.count("*").alias("total"), F.count_if(~none).alias("restored"), F.count_if(none & app).alias("appendix"), F.count_if(none & ~app & F.col("__first")).alias("first"), F.count_if(none & ~app & ~F.col("__first")).alias("other"))
+    return n.withColumn("adjusted", F.round(F.try_divide(F.col("restored").cast("double"), F.col("total") - F.col("appendix") - F.col("first")), 6))
+
+
 def readiness(chunks: DataFrame, dimension: int) -> DataFrame:
     """(state, message): what a deployment check finds in the store."""
     a = chunks.agg(F.count("*").alias("n"), F.count("embedding").alias("e"), F.max("ingested_at").alias("last"), F.max(F.size("embedding")).alias("d"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.terms import document_frequency, postings, statistics, tokens_of
-from quarry.session import ship_package
+from quarry.session import cut, ship_package, small_side
 
 K1, B, CANDIDATES, FUSION_K, RERANK = 1.5, 0.75, 50, 60, 20
 
@@ -31,12 +31,10 @@ def bm25(docs: DataFrame, queries: DataFrame, key: str = "doc_id", query: str =
     every: only documents with all of a query's tokens (the production rule), else with any (the evaluation rule). A
     query without tokens has no rows.
     """
-    posts = postings(docs, key, text)
     q = queries.select(F.col(query), F.explode(tokens_of(F.col("text"))).alias("term")).groupBy(query, "term").agg(F.count("*").alias("qtf"))
-    # only the queries' terms need postings and frequencies
-    posts = posts.join(q.select("term").distinct(), "term", "left_semi")
-    stats = statistics(docs, text)
-    p = posts.join(document_frequency(posts), "term").crossJoin(F.broadcast(stats))
+    # only the queries' terms need postings and frequencies, so the others go before anything is shuffled; both uses read what is written once
+    posts = cut(postings(docs, key, text, small_side(cut(q.select("term").distinct(), "terms"))), "postings")
+    p = posts.join(document_frequency(posts), "term").crossJoin(F.broadcast(statistics(docs, text)))
     idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
     part = F.col("qtf") * idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     hits = p.join(q, "term").groupBy(query, key).agg(F.round(F.sum(part), 6).alias("score"), F.count("*").alias("matched"))
@@ -46,47 +44,74 @@ def bm25(docs: DataFrame, queries: DataFrame, key: str = "doc_id", query: str =
     return hits if k is None else top(hits, query, "score", key, k)
 
 
-def _blocks(rows: DataFrame, key: str, vector: str, size: int) -> DataFrame:
-    """Rows of about size keys and vectors each."""
-    n = max(1, -(-rows.count() // size))
-    r = rows.select(F.col(key).cast("long").alias("k"), F.col(vector).cast("array<double>").alias("v"))
-    return r.groupBy(F.pmod(F.xxhash64("k"), F.lit(n)).alias("b")).agg(F.collect_list("k").alias("k"), F.flatten(F.collect_list("v")).alias("v"))
+def _best(score: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each row, with their keys; equal scores by ascending key, and those that are no number last."""
+    order = np.lexsort((keys, -score), axis=-1)[:, :k]
+    return np.take_along_axis(score, order, 1), np.take_along_axis(keys, order, 1)
 
 
-def _pairs(k: int, drop_self: bool):
-    def unit(keys, values) -> tuple[np.ndarray, np.ndarray]:
-        x = np.asarray(values, float).reshape(len(keys), -1)
+def _plain(keys: pa.Array) -> np.ndarray:
+    """Keys as numbers or as text, which numpy can sort."""
+    x = keys.to_numpy(zero_copy_only=False)
+    return x.astype(str) if x.dtype == object else x
+
+
+def _nearest(sent, k: int, drop_self: bool, block: int):
+    def unit(x: np.ndarray) -> np.ndarray:
         with np.errstate(invalid="ignore", divide="ignore"):
-            return np.asarray(keys), x / np.linalg.norm(x, axis=1, keepdims=True)
+            return x / np.linalg.norm(x, axis=1, keepdims=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qk, q = sent.value
+        q = unit(q)
+        best = [(np.full((len(q[i : i + block]), 0), np.nan), None) for i in range(0, len(q), block)]
         for batch in batches:
-            for i in range(batch.num_rows):
-                (ck, c), (qk, q) = (unit(batch.column(j)[i].values.to_numpy(), batch.column(j + 1)[i].values.to_numpy()) for j in (0, 2))
-                score = np.round(q @ c.T, 6)
-                if drop_self:
-                    score[qk[:, None] == ck[None]] = np.nan
+            for lo in range(0, batch.num_rows, block):
+                part = batch.slice(lo, block)
+                ck = _plain(part.column(0))
+                c = unit(part.column(1).flatten().to_numpy().reshape(len(ck), -1))
                 by_key = np.argsort(ck, kind="stable")
-                best = by_key[np.argsort(-score[:, by_key], axis=1, kind="stable")[:, :k]]
-                s = np.take_along_axis(score, best, 1).reshape(-1)
-                ok = ~np.isnan(s)
-                yield pa.record_batch({"q": np.repeat(qk, best.shape[1])[ok], "k": ck[best].reshape(-1)[ok], "score": s[ok]})
+                ck, c = ck[by_key], c[by_key]
+                for j, (score, keys) in enumerate(best):
+                    mine = slice(j * block, (j + 1) * block)
+                    s = np.round(q[mine] @ c.T, 6)
+                    if drop_self:
+                        s[qk[mine, None] == ck[None]] = np.nan
+                    top_part = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                    keys = ck[top_part] if keys is None else np.hstack((keys, ck[top_part]))
+                    best[j] = _best(np.hstack((score, np.take_along_axis(s, top_part, 1))), keys, k)
+        for j, (score, keys) in enumerate(best):
+            ok = ~np.isnan(score)
+            if not ok.any():
+                continue
+            yield pa.record_batch({"q": np.repeat(qk[j * block : (j + 1) * block], score.shape[1])[ok.reshape(-1)], "k": keys[ok], "score": score[ok]})
 
     return run
 
 
-def vectors(docs: DataFrame, queries: DataFrame, key: str = "vec_id", query: str = "qid", vector: str = "embedding", k: int = CANDIDATES, drop_self: bool = False, block: int = 1024) -> DataFrame:
-    """(query, key, score, rank) by exact cosine; rows without a vector, and those of length 0, are left out.
+def vectors(docs: DataFrame, queries: DataFrame, key: str = "vec_id", query: str = "qid", vector: str = "embedding", k: int = CANDIDATES, drop_self: bool = False, block: int = 1024, slice_bytes: int = 8 << 20) -> DataFrame:
+    """(query, key, score, rank) by exact cosine; rows without a vector, and those of length 0, are left out. Keys are whole numbers or strings.
 
-    Both sides are packed into blocks; each pair of blocks is one matrix product that keeps k rows a query, so what
-    is shuffled grows with queries times blocks and not with pairs. drop_self: a query's own key is no answer.
+    The corpus is read where it lies. Queries go to its tasks in slices of slice_bytes at most, whatever their number; a task keeps the k
+    best of each query, block by block, so what is shuffled is k rows a query and task, and never a vector. drop_self: a
+    query's own key is no answer.
     """
-    ship_package(docs.sparkSession)
-    c = _blocks(docs.where(F.col(vector).isNotNull()), key, vector, block)
-    q = _blocks(queries.where(F.col(vector).isNotNull()), query, vector, block)
-    n = max(1, docs.sparkSession.sparkContext.defaultParallelism)
-    p = c.select(F.col("k").alias("ck"), F.col("v").alias("cv")).crossJoin(q.select(F.col("k").alias("qk"), F.col("v").alias("qv"))).repartition(n * 4)
-    s = p.mapInArrow(_pairs(k, drop_self), "q long, k long, score double").select(F.col("q").alias(query), F.col("k").alias(key), "score")
+    spark = docs.sparkSession
+    ship_package(spark)
+    kind = lambda df, c: "string" if df.schema[c].dataType.typeName() == "string" else "long"
+    side = lambda df, c: df.where(F.col(c).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0)).select(F.col(c).cast(kind(df, c)).alias("k"), F.col(vector).cast("array<double>").alias("v"))
+    c, q = side(docs, key), side(queries, query)
+    n = q.agg(F.sum(8 * F.size("v") + 8)).first()[0] or 0
+    slices = max(1, -(-int(n) // slice_bytes))
+    if slices > 1:
+        q = cut(q, "queries")
+    out = []
+    for i in range(slices):
+        t = q.where(F.pmod(F.xxhash64("k"), F.lit(slices)) == i).toArrow()
+        keys = _plain(t.column(0).combine_chunks())
+        sent = spark.sparkContext.broadcast((keys, t.column(1).combine_chunks().flatten().to_numpy().reshape(len(keys), -1) if len(keys) else np.zeros((0, 1))))
+        out.append(c.mapInArrow(_nearest(sent, k, drop_self, block), f"q {kind(queries, query)}, k {kind(docs, key)}, score double"))
+    s = functools.reduce(DataFrame.unionByName, out).select(F.col("q").alias(query), F.col("k").alias(key), "score")
     return top(s, query, "score", key, k)
 
 
@@ -143,16 +168,50 @@ def promote(children: DataFrame, parents: DataFrame, query: str = "qid", k: int
     return p.withColumn("rank", F.row_number().over(Window.partitionBy(query).orderBy("best", "parent_id"))).where(F.col("rank") <= k).drop("best")
 
 
+def legs(chunks: DataFrame, queries: DataFrame, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rankings (qid, id, rank) of a batch of queries by keywords and by vectors."""
+    a = bm25(chunks, queries, "id", "qid", every=every).select("qid", "id", "rank")
+    return a, vectors(chunks, queries, "id", "qid").select("qid", "id", "rank")
+
+
 def search(chunks: DataFrame, queries: DataFrame, top_k: int = 8, reranker: Callable[[DataFrame], DataFrame] | None = None, weights: tuple[float, float] = (0.5, 0.5)) -> DataFrame:
-    """Hybrid search of a batch: chunks (id, text, embedding, clause_no, exhibit), queries (qid, text, embedding).
+    """Hybrid search of a batch: chunks (id, text, embedding, clause_no, exhibit), queries (qid, text, embedding and, if it has one, insurance_type).
 
-    Out-of-scope queries have no rows. reranker maps (qid, id, text, query text) rows to (qid, id, rerank_score).
+    Out-of-scope queries, by their text or their insurance_type, have no rows. reranker maps (qid, id, text, query text) rows to (qid, id, rerank_score).
     """
-    q = in_scope(queries, "text")
-    a = bm25(chunks, q, "id", "qid", every=True).select("qid", "id", "rank")
-    b = vectors(chunks, q, "id", "qid").select("qid", "id", "rank")
+    q = in_scope(queries, *[c for c in ("text", "insurance_type") if c in queries.columns])
+    a, b = legs(chunks, q, every=True)
     r = fuse(a, b, weights=weights)
     if reranker is not None:
         head = r.where(F.col("rank") <= RERANK).join(chunks.select("id", F.substring("text", 1, 1500).alias("content")), "id").join(q.select("qid", F.col("text").alias("query")), "qid")
         r = rerank(r, reranker(head.select("qid", "id", "content", "query")))
     return r.where(F.col("rank") <= top_k).join(chunks.drop("embedding"), "id")
+
+
+def answers(chunks: DataFrame, queries: DataFrame, **how) -> DataFrame:
+    """(qid, chunks, citations): for each query what search() finds, in order, and the distinct clauses it cites; both are empty where it finds nothing, as for queries out of scope."""
+    r = cut(search(chunks, queries, **how), "found")
+    found = r.groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "id", "text", "score"))), lambda x: F.struct(x["id"].alias("id"), x["text"].alias("text"), x["score"].alias("score"))).alias("chunks"))
+    cited = citations(r).groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "clause_no", "exhibit"))), lambda x: F.struct(x["clause_no"].alias("clause_no"), x["exhibit"].alias("exhibit"))).alias("citations"))
+    t = queries.select("qid").join(found, "qid", "left").join(cited, "qid", "left")
+    empty = lambda c: F.coalesce(c, F.array().cast(t.schema[c].dataType)).alias(c)
+    return t.select("qid", empty("chunks"), empty("citations"))
+
+
+def rewritten(chunks: DataFrame, queries: DataFrame, others: DataFrame) -> DataFrame:
+    """Fusion, without weights, of four rankings: queries as they are and rewritten (others, by qid), each by keywords and by vectors."""
+    return fuse(*legs(chunks, queries), *legs(chunks, others))
+
+
+def variant_queries(questions: DataFrame, variants: tuple[str, ...] = ("utterance", "rewritten", "followup", "report")) -> DataFrame:
+    """(qid, variant, text, rerank_text): a row for each shape of a question (variants, a struct of texts); a missing one is the question itself. A rewritten query is reranked with what was said."""
+    text = lambda v: F.coalesce(F.col(f"variants.{v}"), F.col("question"))
+    shapes = [F.struct(F.lit(v).alias("variant"), text(v).alias("text"), text("utterance" if v == "rewritten" else v).alias("rerank_text")) for v in variants]
+    return questions.select("qid", F.inline(F.array(*shapes)))
+
+
+def methods(chunks: DataFrame, queries: DataFrame) -> DataFrame:
+    """(method, qid, id, rank): the rankings by keywords (bm25), by vectors (embed) and by both (rrf, without weights)."""
+    a, b = (cut(leg, "leg") for leg in legs(chunks, queries))
+    named = [d.select(F.lit(n).alias("method"), "qid", "id", "rank") for n, d in (("bm25", a), ("embed", b), ("rrf", fuse(a, b)))]
+    return functools.reduce(DataFrame.unionByName, named)

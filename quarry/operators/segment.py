@@ -1,15 +1,22 @@
 """Segmentation of ordered text: paragraphs, lines, fragments, greedy packing, runs, splits and final chunk rows.
 
 Order is always explicit: (page, is_table, seq) or a line number. Greedy packing restarts its counter at each flush, so it
-is a fold over the ordered array of a document and not a bucket of a running sum.
+is one pass over the sorted parts and not a bucket of a running sum.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from quarry.functions.text import chunk_key, strip, tokens
+from quarry.session import ship_package
 
 TARGET, HARD_MAX, PLAIN_LIMIT, TABLE_ROWS = 500, 1000, 450, 20
 FOOTER = r"(?U)^\s*[-‐–—]\s*\d{1,3}\s*[-‐–—]\s*$"
@@ -28,6 +35,38 @@ def lines(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: s
     return docs.select(F.col(key), F.posexplode(paragraphs(F.col(text), separator)).alias("seq", "line")).withColumn("seq", F.col("seq") + 1)
 
 
+ARTICLE_LINE = r"(?m)^제\d+조(?:의\d+)?\s*\((?:[^()\n]|\([^()\n]{0,20}\)){1,50}(?:\)?\s*$|\)\s*(?=①|1\.\s))"
+
+
+@F.udf(ArrayType(StringType()), useArrow=True)
+def article_parts(text: str) -> list[str]:
+    """A paragraph, cut before each line that is an article's heading, unless fewer than four characters lie between it and the one before or after: then it is of a list."""
+    if text is None:
+        return []
+    heads = [m.span() for m in re.finditer(ARTICLE_LINE, text)]
+    near = [len("".join(text[a[1] : b[0]].split())) < 4 for a, b in zip(heads, heads[1:], strict=False)]
+    alone = [not before and not after for before, after in zip([False, *near], [*near, False], strict=True)]
+    at = [0, *[a for (a, _), ok in zip(heads, alone, strict=False) if ok and a > 0], len(text)]
+    return [p for p in (text[i:j].strip() for i, j in zip(at, at[1:], strict=False)) if p]
+
+
+def front_matter(pages: DataFrame, found: DataFrame, doc: str = "doc_hash") -> DataFrame:
+    """pages without those before the one where the base terms begin; all pages where no such page was found."""
+    return pages.join(found.select(doc, "base_start_page"), doc, "left").where(F.col("page") >= F.coalesce("base_start_page", F.lit(0))).drop("base_start_page")
+
+
+def even_pages(pages: DataFrame, n: int, doc: str = "doc", page: str = "page") -> DataFrame:
+    """(doc, page): n pages of each document, spread evenly over the distinct ones in order, or all if there are no more."""
+    g = pages.groupBy(doc).agg(F.array_sort(F.collect_set(page)).alias("p"))
+    at = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("p", F.floor(i * F.size("p") / n).cast("int")))
+    return g.select(doc, F.explode(F.when(F.size("p") <= n, F.col("p")).otherwise(at)).alias(page))
+
+
+def in_page_order(parts: DataFrame, doc: str, ordinal: str, *by: str) -> DataFrame:
+    """parts with place, from 1: by page and the like, and where these are equal in the order they had before."""
+    return parts.withColumn("place", F.row_number().over(Window.partitionBy(doc).orderBy(*by, ordinal)))
+
+
 def fragments(pages: DataFrame) -> DataFrame:
     """Paragraphs and tables of pages (doc, page, text, tables) as (doc, page, is_table, seq, text, source)."""
     text = pages.select("doc", "page", F.posexplode(paragraphs(F.col("text"))).alias("seq", "text")).select("doc", "page", F.lit(False).alias("is_table"), "seq", "text", F.lit(None).cast("string").alias("source"))
@@ -41,41 +80,70 @@ def without_lines(text: Column, *patterns: str) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~bad(x)), "\n")
 
 
-def pack_after(sizes: Column, target: int = TARGET) -> Column:
-    """Group of each item, from 0: a group ends with the item that brings its sum to target."""
-    start = F.struct(F.lit(0).alias("g"), F.lit(0).alias("s"), F.array().cast("array<int>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        s = a["s"] + x
-        full = s >= target
-        return F.struct((a["g"] + full.cast("int")).alias("g"), F.when(full, F.lit(0)).otherwise(s).alias("s"), F.array_append(a["out"], a["g"]).alias("out"))
-
-    return F.aggregate(sizes, start, step, lambda a: a["out"])
-
-
-def pack_before(sizes: Column, limit: int = PLAIN_LIMIT) -> Column:
-    """Group of each item, from 0: a new group begins with the item that would bring the sum over limit."""
-    start = F.struct(F.lit(0).alias("g"), F.lit(0).alias("s"), F.array().cast("array<int>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        over = (a["s"] > 0) & (a["s"] + x > limit)
-        g = a["g"] + over.cast("int")
-        return F.struct(g.alias("g"), F.when(over, x).otherwise(a["s"] + x).alias("s"), F.array_append(a["out"], g).alias("out"))
-
-    return F.aggregate(sizes, start, step, lambda a: a["out"])
+def pack(sizes: Iterable[int], size: int, before: bool) -> Iterator[int]:
+    """Group of each item, from 0. After: a group ends with the item that brings its sum to size. Before: a new group begins with the item that would bring the sum over it."""
+    group = total = 0
+    for n in sizes:
+        if before and total > 0 and total + n > size:
+            group, total = group + 1, 0
+        yield group
+        total += n
+        if not before and total >= size:
+            group, total = group + 1, 0
 
 
 def packed(parts: DataFrame, key: str, before: bool, size: int, *label: str) -> DataFrame:
-    """Ordered parts (key, seq, line and labels) as packed texts (key, labels, run, part, first_seq, n, text). A change of label ends a group, and a run of equal labels is packed on its own."""
-    w = Window.partitionBy(key).orderBy("seq")
-    change = F.lit(0)
-    for c in label:
-        change = F.greatest(change, (~F.col(c).eqNullSafe(F.lag(c).over(w))).cast("int"))
-    p = parts.withColumn("__c", change if label else F.lit(0)).withColumn("run", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = p.groupBy(key, "run", *label).agg(F.array_sort(F.collect_list(F.struct("seq", "line"))).alias("items"))
-    fold = (pack_before if before else pack_after)(F.transform("items", lambda x: tokens(x["line"])), size)
-    g = g.withColumn("group", fold).select(key, "run", *label, F.inline(F.arrays_zip("items", "group")))
-    return g.groupBy(key, "run", *label, F.col("group").alias("part")).agg(F.min("items.seq").alias("first_seq"), F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("items")), lambda x: x["line"]), "\n").alias("text"))
+    """Ordered parts (key, seq, line and labels) as packed texts (key, run, labels, part, first_seq, n, text). A change of label ends a group, and a run of equal labels is packed on its own.
+
+    Parts are brought together and sorted by key once, and read in one pass that holds the text of one pack at a time.
+    """
+    ship_package(parts.sparkSession)
+    p = parts.select(key, *label, F.col("seq").cast("int").alias("seq"), F.coalesce(tokens(F.col("line")), F.lit(0)).alias("__n"), F.coalesce("line", F.lit("")).alias("line")).repartition(F.col(key)).sortWithinPartitions(key, "seq")
+    names = [key, *label]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        last = run_key = object()  # of no row
+        runs = group = total = 0
+        held: list[str] = []
+        first = None
+
+        def close() -> None:
+            if held:
+                out.append((*run_key, runs, group, first, len(held), "\n".join(held)))
+                held.clear()
+
+        def rows() -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True)) if out else [[]] * len(schema)
+            out.clear()
+            return pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            cols = [c.to_pylist() for c in batch.columns]
+            for *who, seq, n, line in zip(*cols, strict=True):
+                who = tuple(who)
+                if who != run_key:
+                    close()
+                    runs = runs + 1 if who[0] == last else 0 if not label else 1
+                    last, run_key, group, total = who[0], who, 0, 0
+                elif before and total > 0 and total + n > size:
+                    close()
+                    group, total = group + 1, 0
+                if not held:
+                    first = seq
+                held.append(line)
+                total += n
+                if not before and total >= size:
+                    close()
+                    group, total = group + 1, 0
+            yield rows()
+        close()
+        yield rows()
+
+    types = {f.name: f.dataType for f in p.schema.fields}
+    spark_schema = StructType([StructField(c, types[c]) for c in names] + [StructField("run", LongType()), StructField("part", IntegerType()), StructField("first_seq", IntegerType()), StructField("n", LongType()), StructField("text", StringType())])
+    schema = to_arrow_schema(spark_schema)
+    return p.mapInArrow(run, spark_schema).select(key, "run", *label, "part", "first_seq", "n", "text")
 
 
 def runs(rows: DataFrame, flag: Column, key: str, order: str, least: int) -> DataFrame:
@@ -86,6 +154,30 @@ def runs(rows: DataFrame, flag: Column, key: str, order: str, least: int) -> Dat
     return r.groupBy(key, "__i").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n")).where(F.col("n") >= least).drop("__i")
 
 
+def merged_runs(rows: DataFrame, flag: Column, key: str, order: str, text: str, least: int = 2) -> DataFrame:
+    """rows, where each run of at least so many for which flag holds is one row: its first row's columns with the texts joined by line breaks (and last, the order of its last row); no other row changes."""
+    w = Window.partitionBy(key).orderBy(order)
+    r = rows.withColumn("__f", F.coalesce(flag, F.lit(False)))
+    r = r.withColumn("__i", F.row_number().over(w) - F.sum(F.col("__f").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    r = r.withColumn("__n", F.when(F.col("__f"), F.count_if("__f").over(Window.partitionBy(key, "__i"))).otherwise(0))
+    one = r.where(F.col("__n") < least).select(*rows.columns, F.col(order).alias("last"))
+    rest = [c for c in rows.columns if c not in (key, text)]
+    many = r.where(F.col("__n") >= least).groupBy(key, "__i").agg(F.min_by(F.struct(*rest), order).alias("__r"), F.array_sort(F.collect_list(F.struct(order, text))).alias("__t"), F.max(order).alias("last"))
+    many = many.select(key, *[F.col(f"__r.{c}").alias(c) for c in rest], F.array_join(F.transform("__t", lambda x: strip(x[text])), "\n").alias(text), "last")
+    return one.unionByName(many.select(*one.columns))
+
+
+def merge_titles(merged: DataFrame, key: str = "doc_hash", order: str = "ord", text: str = "body") -> DataFrame:
+    """Rows (section, article_no, article_title and a body) of which two or more in a row and in one section are nothing but an article's heading become one, without a number and titled 인용 조문."""
+    flag = ~F.col("is_table") & F.rlike(strip(F.col(text)), F.lit(HEADING))
+    w = Window.partitionBy(key).orderBy(order)
+    turn = F.sum((~F.col("section").eqNullSafe(F.lag("section").over(w))).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    m = merged.withColumn("__s", turn).withColumn("__key", F.struct(key, "__s"))
+    r = merged_runs(m, flag, "__key", order, text)
+    many = F.col("last") != F.col(order)
+    return r.select(*[F.when(many, {"article_no": F.lit(None), "article_title": F.lit("인용 조문")}.get(c, F.col(c))).otherwise(F.col(c)).alias(c) if c in ("article_no", "article_title") else F.col(c) for c in merged.columns])
+
+
 def citation_runs(numbered: DataFrame, key: str = "doc_id", least: int = 3) -> DataFrame:
     """Three heading-only lines or more in a row are a list of citations, and no headings."""
     return runs(numbered, F.col("line").rlike(HEADING), key, "seq", least)
@@ -107,24 +199,40 @@ def enumerated(text: Column, least_tokens: int = 400, least_items: int = 4) -> C
     return F.when((tokens(text) >= least_tokens) & (F.size(heads) >= least_items), parts).otherwise(F.array(text))
 
 
+@F.udf(ArrayType(StringType()), useArrow=True)
+def _line_packs(text: str, target: int) -> list[str]:
+    packs: list[list[str]] = []
+    size = 0
+    for line in text.split("\n"):
+        joined = size + 1 + len(line) if packs and size else len(line)
+        if packs and (size == 0 or joined * 6 // 10 <= target):
+            packs[-1].append(line)
+        else:
+            packs.append([line])
+            joined = len(line)
+        size = joined
+    return [t for t in ("\n".join(p).lstrip("\n") for p in packs) if t]
+
+
 def hard_split(text: Column, hard_max: int = HARD_MAX, target: int = TARGET) -> Column:
-    """A text over hard_max as packs of lines of at most target tokens; a longer line stands alone."""
-    start = F.struct(F.lit("").alias("cur"), F.array().cast("array<string>").alias("out"))
+    """A text over hard_max as packs of lines of at most target tokens; a longer line stands alone, and empty lines begin no pack."""
+    return F.when(tokens(text) > hard_max, _line_packs(F.when(tokens(text) > hard_max, text).otherwise(""), F.lit(target))).otherwise(F.array(text))
 
-    def step(a: Column, x: Column) -> Column:
-        joined = F.when(a["cur"] == "", x).otherwise(F.concat_ws("\n", a["cur"], x))
-        over = (a["cur"] != "") & (tokens(joined) > target)
-        return F.struct(F.when(over, x).otherwise(joined).alias("cur"), F.when(over, F.array_append(a["out"], a["cur"])).otherwise(a["out"]).alias("out"))
 
-    parts = F.aggregate(F.split(text, "\n"), start, step, lambda a: F.when(a["cur"] == "", a["out"]).otherwise(F.array_append(a["out"], a["cur"])))
-    return F.when(tokens(text) > hard_max, parts).otherwise(F.array(text))
+@F.udf(ArrayType(StringType()), useArrow=True)
+def _glued(parts: list[str], least: int) -> list[str]:
+    out: list[list[str]] = []
+    for x in parts if parts is not None else []:
+        if out and len(x.strip()) < least:
+            out[-1].append(x)
+        else:
+            out.append([x])
+    return ["".join(p) for p in out]
 
 
 def children(text: Column, least: int = 40) -> Column:
     """Small-to-big: parts that begin at circled digits or numbered lines; a part of fewer characters is glued to the one before."""
-    parts = split_before(text, r"[①-⑳]|(?<=\n)\d{1,2}\. ")
-    glue = lambda a, x: F.when((F.size(a) > 0) & (F.length(strip(x)) < least), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.concat(F.element_at(a, -1), x)))).otherwise(F.array_append(a, x))
-    return F.aggregate(parts, F.array().cast("array<string>"), glue)
+    return F.when(text.isNotNull(), _glued(split_before(text, r"[①-⑳]|(?<=\n)\d{1,2}\. "), F.lit(least)))
 
 
 def table_rows(markdown: Column) -> Column:
@@ -182,10 +290,13 @@ def header(label: Column, article: Column, title: Column, kind: Column) -> Colum
 
 
 def boilerplate(chunks: DataFrame, key: Column, order: list[str], always: Column | None = None) -> DataFrame:
-    """is_boilerplate and canonical_id: all chunks with the same key but the first, and those that always are. An empty key is no key."""
-    k = F.nullif(key, F.lit(""))
-    first = F.min(F.struct(*[F.col(c) for c in order], F.col("chunk_id").alias("__id"))).over(Window.partitionBy("__k"))
-    c = chunks.withColumn("__k", F.coalesce(k, F.concat(F.lit("\x00"), "chunk_id"))).withColumn("__first", first["__id"])
-    again = F.col("__first") != F.col("chunk_id")
+    """is_boilerplate and canonical_id: all chunks with the same key but the first, and those that always are. An empty key is no key.
+
+    Firsts are combined before they are shuffled and joined back, so a text that millions of chunks repeat is no single group.
+    """
+    c = chunks.withColumn("__k", F.xxhash64(F.nullif(key, F.lit("")))).withColumn("__key", F.nullif(key, F.lit("")))
+    firsts = c.where("__key is not null").groupBy("__k", "__key").agg(F.min(F.struct(*[F.col(x) for x in order], F.col("chunk_id").alias("__id"))).alias("__first"), F.count("*").alias("__n")).where("__n > 1")
+    c = c.join(firsts.select("__k", "__key", F.col("__first.__id").alias("__first")), ["__k", "__key"], "left")
+    again = F.coalesce(F.col("__first") != F.col("chunk_id"), F.lit(False))
     c = c.withColumn("is_boilerplate", again | (F.lit(False) if always is None else always)).withColumn("canonical_id", F.when(again, F.col("__first")))
-    return c.drop("__k", "__first")
+    return c.drop("__k", "__key", "__first")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as X
-from quarry.operators import checks, classify, evaluation, retrieval, segment, terms
+from quarry.operators import checks, classify, contain, evaluation, retrieval, segment, terms
+from quarry.session import cut
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -218,14 +219,15 @@ def _rank_sql(vector: str) -> str:
 
 
 _TOP = _rank_sql("embedding")
-#: Another ranking of the same ids: by the first half of each vector.
-_IDS = _rank_sql("embedding[1:32]")
+#: Another ranking of the same ids: by each vector's differences from place to place, the last from the first.
+_IDS = _rank_sql("shifted").replace("FROM embeddings a, embeddings b", "FROM _E a, _E b").replace("_E ", "(SELECT *, list_transform(generate_series(1, len(embedding)), lambda i: CAST(embedding[i] AS DOUBLE) - CAST(embedding[i % len(embedding) + 1] AS DOUBLE)) AS shifted FROM embeddings) ")
 
 
-def _ranked(spark, d, half: bool = False) -> DataFrame:
+def _ranked(spark, d, other: bool = False) -> DataFrame:
     e = _t(spark, d, "embeddings")
-    if half:
-        e = e.withColumn("embedding", F.slice("embedding", 1, 32))
+    if other:
+        v = F.transform("embedding", lambda x: x.cast("double"))
+        e = e.withColumn("embedding", F.zip_with(v, F.concat(F.slice(v, 2, F.size(v) - 1), F.slice(v, 1, 1)), lambda x, y: x - y))
     return retrieval.vectors(e, e.withColumnRenamed("vec_id", "qid"), drop_self=True).withColumnRenamed("vec_id", "id")
 
 
@@ -242,7 +244,7 @@ def cosine_topk(spark, d):
 
 
 def _second(spark, d) -> DataFrame:
-    return _ranked(spark, d, half=True).select("qid", "id", "rank")
+    return _ranked(spark, d, other=True).select("qid", "id", "rank")
 
 
 _FUSED = f"""SELECT qid, id, score, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, first, id) AS INTEGER) AS rank FROM
@@ -254,11 +256,21 @@ def rrf_fuse(spark, d):
     return retrieval.fuse(_ranked(spark, d).select("qid", "id", "rank"), _second(spark, d), weights=(0.5, 0.5))
 
 
-@query(f"""WITH f AS ({_FUSED}) SELECT qid, id, CASE WHEN rank <= 20 THEN CAST(id % 97 AS DOUBLE) ELSE score END AS score,
-CAST(row_number() OVER (PARTITION BY qid ORDER BY CASE WHEN rank <= 20 THEN 0 ELSE 1 END, CASE WHEN rank <= 20 THEN id % 97 END DESC, rank) AS INTEGER) AS rank FROM f""")
+_PAIR = "round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6)"
+
+
+@query(f"""WITH f AS ({_FUSED}), s AS (SELECT f.*, {_PAIR} AS r FROM f JOIN embeddings a ON a.vec_id = f.qid JOIN embeddings b ON b.vec_id = f.id) SELECT qid, id, CASE WHEN rank <= 20 THEN r ELSE score END AS score,
+CAST(row_number() OVER (PARTITION BY qid ORDER BY CASE WHEN rank <= 20 THEN 0 ELSE 1 END, CASE WHEN rank <= 20 THEN r END DESC, rank) AS INTEGER) AS rank FROM s""")
 def rerank_head_tail(spark, d):
-    f = rrf_fuse(spark, d)
-    return retrieval.rerank(f, f.where("rank <= 20").select("qid", "id", (F.col("id") % 97).cast("double").alias("rerank_score")))
+    f = cut(rrf_fuse(spark, d), "fused")
+    e = _t(spark, d, "embeddings")
+    pairs = f.where("rank <= 20").join(e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("a")), "qid").join(e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("b")), "id")
+    return retrieval.rerank(f, pairs.select("qid", "id", F.round(X.cosine(F.col("a"), F.col("b")), 6).alias("rerank_score")))
+
+
+@query(_FUSED.replace("0.5 / (60 + rank)", "1.0 / (60 + rank)"))
+def rrf_unweighted(spark, d):
+    return retrieval.fuse(_ranked(spark, d).select("qid", "id", "rank"), _second(spark, d))
 
 
 _PER = f"SELECT qid, label, CAST(max(CAST(hit AND rank <= 1 AS INTEGER)) AS DOUBLE) AS r1, CAST(max(CAST(hit AND rank <= 5 AS INTEGER)) AS DOUBLE) AS r5, coalesce(1.0 / min(CASE WHEN hit AND rank <= 10 THEN rank END), 0.0) AS rr FROM ({_TOP}) GROUP BY ALL"
@@ -282,13 +294,14 @@ def citations_first_distinct(spark, d):
     return retrieval.citations(r)
 
 
-_GOLD = "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)"
+_DENSE = "regexp_replace({0}, '\\s+', '', 'g')"
+_GOLD = f"SELECT item_id, doc_id FROM (SELECT item_id, {_DENSE.format('text')} AS b FROM benchmark) JOIN (SELECT doc_id, {_DENSE.format('text')} AS d FROM documents) ON contains(d, b) WHERE b <> ''"
 
 
 @query(_GOLD)
 def gold_expand(spark, d):
-    b = _t(spark, d, "benchmark").withColumnRenamed("text", "span")
-    return _t(spark, d, "documents").join(b, F.contains("text", "span")).select("item_id", "doc_id")
+    b = _t(spark, d, "benchmark").select("item_id", X.dense(F.col("text")).alias("span"))
+    return contain.containing(_t(spark, d, "documents").select("doc_id", X.dense(F.col("text")).alias("text")), b, "doc_id", "text", "item_id", "span")
 
 
 @query(f"""WITH r AS ({_bm25_sql(False)}), g AS (SELECT item_id, min(rank) AS best FROM r JOIN ({_GOLD}) USING (item_id, doc_id) GROUP BY 1)
@@ -304,27 +317,36 @@ def out_of_scope_router(spark, d):
     return retrieval.in_scope(_t(spark, d, "conversations"), "text", "role", hints=["que", "nicht", "system"]).select("conv_id", "turn")
 
 
-@query("""SELECT conv_id, turn, text AS utterance, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), text) AS prev, concat_ws(' / ', role, substr(text, 1, 40)) AS report FROM conversations""")
+@query("""SELECT conv_id, turn, text AS utterance, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), text) AS prev, concat_ws(' / ', role, text) AS report FROM conversations""")
 def conversation_variants(spark, d):
     w = Window.partitionBy("conv_id").orderBy("turn")
-    return _t(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("utterance"), F.coalesce(F.lag("text").over(w), "text").alias("prev"), F.concat_ws(" / ", "role", F.substring("text", 1, 40)).alias("report"))
+    return _t(spark, d, "conversations").select("conv_id", "turn", F.col("text").alias("utterance"), F.coalesce(F.lag("text").over(w), "text").alias("prev"), F.concat_ws(" / ", "role", "text").alias("report"))
 
 
-@query(f"""WITH l AS ({_LINES}), w AS (SELECT doc_id, string_agg(line, ' ' ORDER BY line) AS a FROM l WHERE seq % 3 <> 0 GROUP BY doc_id),
-p AS (SELECT doc_id, substr(text, CAST(i AS BIGINT), 12) AS p FROM documents, unnest(generate_series(1, length(text) - 11, 40)) AS t(i) WHERE length(text) >= 12)
+_NORM = "regexp_replace({0}, '[\\s|․·⋅‧,.\\-()\\[\\]【】〔〕:;''\"]+', '', 'g')"
+
+
+@query(f"""WITH l AS (SELECT doc_id, line, min(seq) AS seq FROM ({_LINES}) GROUP BY doc_id, line), w AS (SELECT doc_id, {_NORM.format("string_agg(line, '' ORDER BY seq)")} AS a FROM l GROUP BY doc_id),
+t AS (SELECT doc_id, {_NORM.format("text")} AS t FROM documents), p AS (SELECT doc_id, substr(t, CAST(i AS BIGINT), 12) AS p FROM t, unnest(generate_series(1, length(t) - 11, 40)) AS s(i) WHERE length(t) >= 12)
 SELECT doc_id, count(*) AS probes, count(*) FILTER (coalesce(contains(a, p), false)) AS found FROM p LEFT JOIN w USING (doc_id) GROUP BY doc_id""")
 def coverage_probes(spark, d):
+    """How much of each document its distinct lines cover."""
     docs = _t(spark, d, "documents")
-    kept = segment.lines(docs).where("seq % 3 <> 0").select("doc_id", F.col("line").alias("chunk_text"))
-    return checks.coverage(docs.select("doc_id", "text"), kept, "doc_id")
+    kept = segment.first_occurrences(segment.lines(docs), "doc_id", "seq", "line").withColumnRenamed("line", "chunk_text")
+    return checks.coverage(docs.select("doc_id", "text"), kept, "doc_id", "seq")
+
+
+_HEADS = "SELECT page_id, regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '\\s+', '', 'g') AS t FROM pages"
 
 
-@query("""WITH h AS (SELECT DISTINCT page_id, regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '\\s+', '', 'g') AS t FROM pages), s AS (SELECT DISTINCT regexp_replace(substr(text, 1, 12), '\\s+', '', 'g') AS s FROM documents)
-SELECT page_id, t FROM h WHERE t <> '' AND NOT EXISTS (SELECT 1 FROM s WHERE s <> '' AND (contains(t, s) OR contains(s, t)))""")
+@query(f"""WITH h AS (SELECT DISTINCT page_id, t FROM ({_HEADS}) WHERE t <> ''), s AS (SELECT DISTINCT {_DENSE.format("line")} AS s FROM ({_LINES}))
+SELECT page_id, t FROM h WHERE NOT EXISTS (SELECT 1 FROM s WHERE contains(s, t))""")
 def toc_containment_match(spark, d):
-    h = html_heading_extract(spark, d).select("page_id", X.dense(F.col("heading")).alias("t")).where("t <> ''")
-    s = _t(spark, d, "documents").select(X.dense(F.substring("text", 1, 12)).alias("s")).where("s <> ''").distinct()
-    return h.join(s, F.contains("t", "s") | F.contains("s", "t"), "left_anti")
+    """Headings that no line of a document contains."""
+    h = html_heading_extract(spark, d).select("page_id", X.dense(F.col("heading")).alias("t")).where("t <> ''").distinct()
+    lines = segment.lines(_t(spark, d, "documents")).select("doc_id", X.dense(F.col("line")).alias("s"))
+    hit = contain.containing(lines, h, "doc_id", "s", "page_id", "t").select("page_id").distinct()
+    return h.join(hit, "page_id", "left_anti")
 
 
 @query("SELECT page_id, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS heading FROM pages")

@@ -64,18 +64,21 @@ def unlabelled_taxonomy(spark, d):
     return checks.unlabelled(_chunks(spark, d), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"])
 
 
-@query("""SELECT state, message FROM (SELECT 'OK' AS state, 'chunks ' || count(*) AS message FROM embeddings UNION ALL SELECT CASE WHEN count(embedding) = count(*) THEN 'OK' ELSE 'WARN' END, 'embedded ' || count(embedding) FROM embeddings
-UNION ALL SELECT CASE WHEN max(len(embedding)) = 64 THEN 'OK' ELSE 'FAIL' END, 'dimension ' || max(len(embedding)) FROM embeddings UNION ALL SELECT CASE WHEN count(*) = 0 THEN 'OK' ELSE 'WARN' END, 'split clauses ' || count(*) FROM (SELECT label FROM embeddings GROUP BY label HAVING count(*) > 1)
-UNION ALL SELECT 'INFO', 'last never')""")
+@query("""WITH s AS (SELECT source AS doc_hash, lang AS section, quality AS article_no, embedding, TIMESTAMP '2024-01-01' + to_days(CAST(doc_id AS INTEGER)) AS at FROM documents LEFT JOIN embeddings ON vec_id = doc_id LEFT JOIN labels USING (doc_id))
+SELECT 'OK' AS state, 'chunks ' || count(*) AS message FROM s UNION ALL SELECT CASE WHEN count(embedding) = count(*) THEN 'OK' ELSE 'WARN' END, 'embedded ' || count(embedding) FROM s
+UNION ALL SELECT CASE WHEN max(len(embedding)) = 64 THEN 'OK' ELSE 'FAIL' END, 'dimension ' || max(len(embedding)) FROM s UNION ALL SELECT CASE WHEN count(*) = 0 THEN 'OK' ELSE 'WARN' END, 'split clauses ' || count(*) FROM (SELECT 1 FROM s GROUP BY doc_hash, section, article_no HAVING count(*) > 1)
+UNION ALL SELECT 'INFO', 'last ' || strftime(max(at), '%Y-%m-%d %H:%M:%S') FROM s""")
 def deployment_readiness(spark, d):
-    e = _t(spark, d, "embeddings").select("embedding", F.col("label").cast("string").alias("doc_hash"), F.lit(None).cast("string").alias("section"), F.lit(None).cast("int").alias("article_no"), F.lit(None).cast("timestamp").alias("ingested_at"))
-    return checks.readiness(e, 64)
+    """Documents as the chunks of a store, with the vectors and labels that they have."""
+    e = _t(spark, d, "documents").join(_t(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "left").join(_t(spark, d, "labels"), "doc_id", "left")
+    at = F.timestamp_add("DAY", F.col("doc_id").cast("int"), F.lit("2024-01-01").cast("timestamp"))
+    return checks.readiness(e.select("embedding", F.col("source").alias("doc_hash"), F.col("lang").alias("section"), F.col("quality").alias("article_no"), at.alias("ingested_at")), 64)
 
 
-@query("""WITH k AS (SELECT DISTINCT regexp_extract(text, '[A-Za-z]{6,}') AS term FROM benchmark), d AS (SELECT regexp_replace(text, '\\s+', '', 'g') AS c FROM documents)
+@query("""WITH k AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{6,}')) AS term FROM benchmark), d AS (SELECT regexp_replace(text, '\\s+', '', 'g') AS c FROM documents)
 SELECT term, count(*) AS df FROM k JOIN d ON contains(c, term) WHERE term <> '' GROUP BY term""")
 def keyword_substring_frequency(spark, d):
-    k = _t(spark, d, "benchmark").select(F.regexp_extract("text", "[A-Za-z]{6,}", 0).alias("term")).where("term <> ''")
+    k = _t(spark, d, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{6,}"), 0)).alias("term"))
     return questions.keyword_frequency(k, _t(spark, d, "documents").select(F.col("text").alias("content")))
 
 
@@ -92,12 +95,14 @@ def small_to_big(spark, d):
     return retrieval.promote(r, p)
 
 
-@query("""WITH q AS (SELECT item_id, substr(text, 1, 60) AS q, text, length(text) AS leak FROM benchmark)
-SELECT coalesce(CASE WHEN length(q) < 10 OR length(q) > 65 THEN 'length' WHEN contains(q, 'nicht') THEN 'oos_guard' WHEN NOT contains(regexp_replace(text, '\\s+', '', 'g'), regexp_replace(q, '\\s+', '', 'g')) THEN 'span_anchor' WHEN leak >= 200 THEN 'leak' END, 'kept') AS reason, count(*) AS n FROM q GROUP BY 1""")
+@query("""WITH q AS (SELECT text AS q, coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), '') AS before FROM conversations)
+SELECT coalesce(CASE WHEN length(q) < 10 OR length(q) > 65 THEN 'length' WHEN contains(q, 'nicht') THEN 'oos_guard' WHEN NOT contains(regexp_replace(before, '\\s+', '', 'g'), regexp_replace(q, '\\s+', '', 'g')) THEN 'span_anchor' WHEN length(before) >= 200 THEN 'leak' END, 'kept') AS reason, count(*) AS n FROM q GROUP BY 1""")
 def question_rejects(spark, d):
-    q = F.substring("text", 1, 60)
-    why = questions.reject(q, q, F.col("text"), F.when(F.length("text") >= 200, 14).otherwise(0), F.contains(q, F.lit("nicht")))
-    return _t(spark, d, "benchmark").select(F.coalesce(why, F.lit("kept")).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    """Every turn as a question about the turn before it."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    q = _t(spark, d, "conversations").withColumn("before", F.coalesce(F.lag("text").over(w), F.lit("")))
+    why = questions.reject(F.col("text"), F.col("text"), F.col("before"), F.when(F.length("before") >= 200, 14).otherwise(0), F.contains("text", F.lit("nicht")))
+    return q.select(F.coalesce(why, F.lit("kept")).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query("SELECT doc_id FROM labels WHERE quality = 0 UNION SELECT doc_id FROM labels WHERE toxic = 1")

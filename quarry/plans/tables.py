@@ -57,12 +57,12 @@ def asof_label(spark, d):
 
 
 @query("""SELECT o_orderkey, l_partkey, l_linenumber, o_orderpriority FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-WHERE coalesce(o_orderstatus <> 'F', true) AND l_returnflag = 'N' ORDER BY o_orderpriority DESC, o_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100""")
+WHERE coalesce(o_orderstatus <> 'F', true) AND l_returnflag = 'N' ORDER BY o_orderpriority DESC, o_orderkey, l_linenumber, l_partkey, l_suppkey""")
 def catalog_join(spark, d):
     return catalogue.join(
         _t(spark, d, "orders").withColumn("is_latest", F.col("o_orderstatus") != "F").withColumnsRenamed({"o_orderkey": "page_id", "o_orderpriority": "priority"}),
         _t(spark, d, "lineitem").where("l_returnflag = 'N'").withColumnsRenamed({"l_orderkey": "page_id", "l_linenumber": "part_order"}),
-        limit=100, ties=["l_partkey", "l_suppkey"],
+        ties=["l_partkey", "l_suppkey"],
     ).select(F.col("page_id").alias("o_orderkey"), "l_partkey", F.col("part_order").alias("l_linenumber"), F.col("priority").alias("o_orderpriority"))
 
 
@@ -76,13 +76,13 @@ def count_distinct_by_group(spark, d):
     return _t(spark, d, "lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("docs"), F.count("*").alias("c")).orderBy(F.desc("c"))
 
 
-@query("""SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, coalesce(o.source, n.source) AS source, coalesce(n.lang, o.lang) AS lang, CAST(coalesce(n.n_chars, o.n_chars) AS BIGINT) AS n_chars
-FROM (SELECT doc_id, source, lang, n_chars FROM documents WHERE doc_id % 3 <> 0) o FULL JOIN (SELECT doc_id, 'new' AS source, upper(lang) AS lang, n_chars + 1 AS n_chars FROM documents WHERE doc_id % 2 = 0) n USING (doc_id)""")
+@query("""SELECT coalesce(n.id, o.id) AS id, coalesce(o.source, n.source) AS source, coalesce(n.score, o.score) AS score
+FROM (SELECT doc_id AS id, source, CAST(n_chars AS DOUBLE) AS score FROM documents) o FULL JOIN (SELECT vec_id AS id, 'new' AS source, CAST(label AS DOUBLE) AS score FROM embeddings) n USING (id)""")
 def upsert_keep_columns(spark, d):
-    t = _t(spark, d, "documents").select("doc_id", "source", "lang", "n_chars")
-    old = t.where("doc_id % 3 <> 0")
-    new = t.where("doc_id % 2 = 0").select("doc_id", F.lit("new").alias("source"), F.upper("lang").alias("lang"), (F.col("n_chars") + 1).alias("n_chars"))
-    return store.upsert(old, new, "doc_id", keep=["source"])
+    """All documents as a store, and all vectors as what comes in: a row that both have keeps its source and takes the new score."""
+    old = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", F.col("n_chars").cast("double").alias("score"))
+    new = _t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit("new").alias("source"), F.col("label").cast("double").alias("score"))
+    return store.upsert(old, new, "id", keep=["source"])
 
 
 @query("SELECT doc_id, source FROM documents WHERE source NOT IN ('src1', 'src2')")

@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import needs
 from quarry.sources.schemas import MANIFEST, QUESTIONS, conform
 
 
@@ -36,6 +37,32 @@ def manifest(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(None if r.get(n) is None else str(r[n]) for n in names) for r in rows], MANIFEST).withColumn("effective_date", F.try_to_date("effective_date", "yyyy-MM-dd"))
 
 
+def manifest_rows(text: str) -> list[dict]:
+    """The list under documents: of a manifest in YAML: with a YAML module where there is one, else of plain keys and values."""
+    yaml = needs("yaml", fallback=False)
+    if yaml:
+        return (yaml.safe_load(text) or {}).get("documents") or []
+    out: list[dict] = []
+    inside = False
+    for line in (x.split(" #")[0].rstrip() for x in text.splitlines()):
+        if not line.strip() or line.lstrip().startswith("#"):
+            continue
+        if not line.startswith((" ", "-")):
+            inside = line.strip() == "documents:"
+        elif inside:
+            if line.lstrip().startswith("- "):
+                out.append({})
+            k, _, v = line.strip().removeprefix("- ").partition(":")
+            v = v.strip().strip("'\"")
+            out[-1][k.strip()] = None if v in ("", "null", "~") else v
+    return out
+
+
+def manifest_file(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of a manifest file in YAML."""
+    return manifest(spark, manifest_rows("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())))
+
+
 def table_candidates(*sources: tuple[str, DataFrame]) -> DataFrame:
     """Tables of several extractors (doc, page, markdown) with their names; those of all but the first are taken only for pages where the first found one."""
     named = [df.select("doc", "page", F.lit(n).alias("source"), "markdown") for n, df in sources]

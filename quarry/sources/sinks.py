@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import head3
 from quarry.operators.store import todo
+from quarry.session import file_of
+from quarry.sources.schemas import CHUNKS
 
 EXPORT = ["chunk_index", "page_start", "section", "article_no", "article_title", "chunk_type", "token_count", "table_id", "is_boilerplate", "content"]
 
@@ -32,6 +34,20 @@ def tables(parts: DataFrame, path: str) -> None:
     parts.select("table_id", "markdown").where("table_id is not null").write.mode("overwrite").parquet(path)
 
 
+def table_files(parts: DataFrame, folder: str) -> None:
+    """Markdown of large tables as one text file a table: folder/table_id=.../ holds its lines."""
+    parts.where("table_id is not null").select("table_id", F.col("markdown").alias("value")).repartition("table_id").write.mode("overwrite").partitionBy("table_id").text(folder)
+
+
+def init_store(spark: SparkSession, path: str, skip: bool = False) -> bool:
+    """An empty store of chunks at path where there is none, unless skip is set; tells whether it was made."""
+    fs, p = file_of(spark, path)
+    if skip or fs.exists(p):
+        return False
+    spark.createDataFrame([], CHUNKS).write.parquet(path)
+    return True
+
+
 def append_new(rows: DataFrame, done: DataFrame, path: str, *key: str) -> DataFrame:
     """Appends the rows whose key a cache doesn't have, and gives them."""
     new = todo(rows, done, *key)

@@ -26,12 +26,15 @@ def test_tables_from_html_and_otsl():
     assert P.html_grid(html) == [["a", "b／c", "b／c"], ["a", "d", "e f"]]
     assert P.otsl_grid("<otsl><fcel>a<lcel><nl><ucel><fcel>b<nl><ecel><xcel><nl></otsl>") == [["a", "a"], ["a", "b"], ["", "b"]]
     assert P.rows_to_markdown([["h"], ["a", None]]) == "| h |  |\n| --- | --- |\n| a |  |" and P.rows_to_markdown(None) == ""
+    assert P.rows_to_markdown([["a\nb", "c|d"], [" e ", None]]) == "| a b | c／d |\n| --- | --- |\n| e |  |" and P.rows_to_markdown([["", None]]) == ""
+    assert P.otsl_grid("<fcel>a\\nb<nl><nl><fcel>c<nl>") == [["a b"], ["c"]]
+    assert P.table_markdown("```md\n|a|\n```") == "|a|" and P.table_markdown("NO_TABLE") is None and P.table_markdown("<fcel>a<nl>").startswith("| a |") and P.table_markdown("<table><tr><td>x</table>").startswith("| x |") and P.table_markdown("text") is None
     assert P.html_grid(None) == [] and P.html_grid("<td>x") == [["x"]]
 
 
 def test_text_comparison(spark):
     assert P.common_run("abcdef", "xxcdeyy") == 3 and P.common_run(None, "a") == 0
-    assert P.snap("abc", "zabcz") == "abc" and P.snap("0123456789abcdef", "__0123456789abc__") == "0123456789abc" and P.snap("abcdef", "abc") is None
+    assert P.snap("0123 456789ab", "z0123456789\nabz") == "0123456789ab" and P.snap("0123456789abcdef", "__0123456789abc__") == "0123456789abc" and P.snap("abc", "zabcz") is None and P.snap(None, "a") is None
     assert values(spark, [P.udf(P.common_run)("a", "b"), P.udf(P.similarity)("a", "b")], [("abcd", "bcde")], "a string, b string") == [[3, 0.75]]
 
 
@@ -46,6 +49,58 @@ def test_splits(spark):
     assert [p[0] for p in got[0][0]] == ["머", "①"] and got[0][0][1].endswith("② 짧다")
 
 
+def test_bodies_and_kinds(spark):
+    rows = [("사 | 상품 | 절\n[절 > 제1조(가)]\n제1조(가)\n본문\n둘째",), ("| a | b |\n| c | d |",), ("사 | 상품",), ("본문 | 없음\n글",), (None,)]
+    assert [r[0] for r in values(spark, [X.body_of(F.col("t"))], rows, "t string")] == ["본문\n둘째", "| a | b |\n| c | d |", "사 | 상품", "글", None]
+    assert [r[0] for r in values(spark, [X.section_kind(F.col("t"))], [("별표1 표",), ("장해분류표",), ("골절 특약",), ("보통",)], "t string")] == ["별표", "별표", "특별약관", "보통약관"]
+    assert values(spark, [X.boundary_norm(F.col("t")), X.probe_norm(F.col("t"))], [(" 13. 입 원 [일당]·1",)], "t string") == [["입원[일당]·1", "13입원일당1"]]
+    assert X.cache_name("emb", "questions") == "emb" and X.cache_name("emb", "gen", "report") == "emb_gen_report"
+
+
+def test_parts_at_headings(spark):
+    lone = "앞 글입니다\n제1조(목적)\n본문이 이어집니다\n제2조(정의)\n다른 본문입니다"
+    listed = "앞 글입니다\n제297조(가)\n제298조(나)\n제299조(다)\n뒤 글입니다"
+    got = values(spark, [segment.article_parts(F.col("t"))], [(lone,), (listed,), ("글",), (None,)], "t string")
+    assert [len(g[0]) for g in got] == [3, 1, 1, 0] and got[0][0][1].startswith("제1조")
+
+
+def test_runs_become_one(spark):
+    rows = [("d", 1, "절", "제1조(가)", 1, False), ("d", 2, "절", "제2조(나)", 2, False), ("d", 3, "절", "본문", 2, False), ("d", 4, "절", "제3조(다)", 3, False), ("d", 5, "다른", "제4조(라)", 4, False)]
+    df = spark.createDataFrame([(*r[:5], None, r[5]) for r in rows], "doc_hash string, ord int, section string, body string, article_no int, article_title string, is_table boolean")
+    got = [(r.ord, r.body, r.article_no, r.article_title) for r in segment.merge_titles(df).orderBy("ord").collect()]
+    assert got == [(1, "제1조(가)\n제2조(나)", None, "인용 조문"), (3, "본문", 2, None), (4, "제3조(다)", 3, None), (5, "제4조(라)", 4, None)]
+
+
+def test_packing_is_the_fold_over_each_document(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(k, i, "x" * rng.randrange(0, 60), rng.choice("ab")) for k in range(6) for i in range(40)]
+    df = spark.createDataFrame(rows, "k int, seq int, line string, label string").repartition(5)
+    for before in (True, False):
+        for labels in ((), ("label",)):
+            want = []
+            for k in range(6):
+                run = []
+                for r in [r for r in rows if r[0] == k]:
+                    if run and labels and run[-1][3] != r[3]:
+                        want.append((k, run))
+                        run = []
+                    run.append(r)
+                want.append((k, run))
+            packs = []
+            for k, run in want:
+                group = list(segment.pack([len(r[2]) * 6 // 10 for r in run], 50, before))
+                packs += [(k, run[group.index(g)][1], "\n".join(r[2] for r, h in zip(run, group, strict=True) if h == g)) for g in sorted(set(group))]
+            got = [(r.k, r.first_seq, r.text) for r in segment.packed(df, "k", before, 50, *labels).collect()]
+            assert sorted(got) == sorted(packs)
+
+
+def test_even_pages_and_order(spark):
+    p = spark.createDataFrame([("d", i) for i in range(1, 11)] + [("e", 4), ("e", 2)], "doc string, page int")
+    assert sorted((r.doc, r.page) for r in segment.even_pages(p, 3).collect()) == [("d", 1), ("d", 4), ("d", 7), ("e", 2), ("e", 4)]
+
+
 def test_rows_of_large_tables(spark):
     md = lambda n: "|h|\n|---|\n" + "\n".join(f"|{i}|" for i in range(n))
     rows = segment.row_windows(spark.createDataFrame([(1, md(20)), (2, md(21))], "k int, md string"), "k", "md").orderBy("k", "part").collect()

@@ -1,6 +1,10 @@
+import random
+import threading
+
+import numpy as np
 from pyspark.sql import functions as F
 
-from quarry.operators import catalogue, evaluation, questions, retrieval, store, terms
+from quarry.operators import catalogue, contain, evaluation, questions, retrieval, store, terms
 from quarry.sources import readers, schemas, sinks
 from quarry.streaming import ingest
 
@@ -40,7 +44,11 @@ def test_hits_and_metrics(spark):
     rows = [("s", "1", "x", [("s", "1")], None), ("s", "2", "x", [("s", "1")], None), ("s", None, "a key", [("s", None)], ["key"]), ("s", None, "a", [("s", None)], ["key"]), (None, None, None, None, None)]
     df = spark.createDataFrame(rows, f"section string, article string, content string, gold {gold}, keywords array<string>")
     h = lambda strict: [r[0] for r in df.select(evaluation.hit(*map(F.col, ("section", "article", "content", "gold", "keywords")), strict=strict)).collect()]
-    assert h(True) == [True, False, True, False, False] and h(False) == [True, True, True, False, False]
+    assert h(True) == [True, False, True, False, False] and h(False) == [True, False, True, False, False]
+    wide = df.limit(0).unionByName(spark.createDataFrame([("s", "2", "a key", [("s", "1")], ["key"])], df.schema))
+    assert [wide.select(evaluation.hit(*map(F.col, wide.columns), strict=x)).first()[0] for x in (True, False)] == [False, True]
+    counts = evaluation.reachability(df.select("section", "article", "content"), wide.select(F.lit("q").alias("qid"), "gold", "keywords")).first()
+    assert (counts.strict, counts.lenient) == (1, 2)
     r = spark.createDataFrame([("q", 1, False), ("q", 4, True), ("p", 12, True)], "qid string, rank int, hit boolean")
     assert {(x.qid, x.r1, x.r5, x.rr) for x in evaluation.per_query(r, "qid").collect()} == {("q", 0.0, 1.0, 0.25), ("p", 0.0, 0.0, 0.0)}
     e = evaluation.precision_recall(r.limit(0), r, "qid").first()
@@ -102,11 +110,91 @@ def test_sources_and_sinks(spark, tmp_path):
 
 def test_polling_is_idempotent(spark, tmp_path):
     src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    rows = spark.createDataFrame([("a", "x y"), ("b", "z"), ("a", "x y")], "doc_hash string, content string")
+    schema = "doc_hash string, chunk_id string, content string"
+    rows = spark.createDataFrame([("a", "1", "x y"), ("a", "2", "w"), ("b", "3", "z"), ("a", "1", "x y")], schema)
     rows.write.parquet(src)
-    ingest.poll(spark, src, "doc_hash string, content string", out, cp).awaitTermination()
-    rows.write.mode("append").parquet(src)
-    ingest.poll(spark, src, "doc_hash string, content string", out, cp).awaitTermination()
-    assert sorted(r.doc_hash for r in spark.read.parquet(out).collect()) == ["a", "b"]
-    t = terms.trigram_similar(spark.createDataFrame([("hello",), ("world",)], "term string"), spark.createDataFrame([("helo",)], "term string")).collect()
-    assert [(r.word, r.term) for r in t] == [("helo", "hello")]
+    ingest.poll(spark, src, schema, out, cp).awaitTermination()
+    rows.unionByName(spark.createDataFrame([("c", "4", "new words")], schema)).write.mode("append").parquet(src)
+    ingest.poll(spark, src, schema, out, cp).awaitTermination()
+    store = spark.read.parquet(out)
+    assert sorted((r.doc_hash, r.chunk_id) for r in store.collect()) == [("a", "1"), ("a", "2"), ("b", "3"), ("c", "4")]
+    t = str(tmp_path / "terms")
+    assert ingest.rebuild_terms(store.where("batch = 0"), t) == {"extracted": 0, "inserted": 0, "total": 0, "skipped": False}
+    assert ingest.rebuild_terms(store, t) == {"extracted": 2, "inserted": 2, "total": 2, "skipped": False}
+    with ingest.lock(spark, t + ".lock") as mine:
+        assert mine and ingest.rebuild_terms(store, t)["skipped"]
+    assert ingest.rebuild_terms(store, t)["inserted"] == 0
+    x = terms.trigram_similar(spark.createDataFrame([("hello",), ("world",)], "term string"), spark.createDataFrame([("helo",)], "term string")).collect()
+    assert [(r.word, r.term) for r in x] == [("helo", "hello")]
+
+
+def test_turns(spark):
+    done = []
+    assert ingest.cycle(lambda: True, lambda: done.append(1)) == "done" and ingest.cycle(lambda: False, lambda: done.append(2)) == "failed"
+    assert ingest.cycle(lambda: 1 / 0, lambda: done.append(3)).startswith("failed") and done == [1]
+    stop = threading.Event()
+    turns = []
+
+    def turn():
+        turns.append(1)
+        if len(turns) == 2:
+            stop.set()
+
+    assert ingest.run_forever(turn, 0.01, stop=stop) == 2
+
+
+def test_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 8)), 1)
+    x[7] = x[8] = x[9]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [0.0] * 8), (None, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6)
+    for drop in (False, True):
+        want = []
+        for q in range(300):
+            order = sorted((k for k in range(300) if not (drop and k == q)), key=lambda k: (-s[q, k], k))[:7]
+            want += [(q, k, r + 1) for r, k in enumerate(order)]
+        got = retrieval.vectors(df, df.withColumnRenamed("vec_id", "qid"), k=7, drop_self=drop, block=50, slice_bytes=4000)
+        assert sorted((r.qid, r.vec_id, r["rank"]) for r in got.collect()) == sorted(want)
+        assert "CartesianProduct" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
+    assert retrieval.vectors(df.limit(0), df.withColumnRenamed("vec_id", "qid")).count() == 0
+    named = df.withColumn("vec_id", F.concat(F.lit("c"), F.col("vec_id").cast("string")))
+    assert retrieval.vectors(named, df.withColumnRenamed("vec_id", "qid"), k=1).where("qid = 3").first().vec_id == "c3"
+
+
+def test_containment_against_all_pairs(spark):
+    rng = random.Random(8)
+    word = lambda: rng.choice(["가나", "다", "ab", "c", "é", "xyz", " "])
+    docs = [(i, "".join(word() for _ in range(rng.randrange(0, 120)))) for i in range(60)] + [(60, None), (61, "")]
+    phrases = [(i, "".join(word() for _ in range(rng.randrange(0, 25)))) for i in range(80)] + [(80, docs[3][1]), (81, None), (82, "ab"), (83, "ab")]
+    d, p = spark.createDataFrame(docs, "doc int, t string").repartition(4), spark.createDataFrame(phrases, "k int, p string")
+    want = sorted((k, i) for k, x in phrases if x for i, t in docs if t and x in t)
+    for size in (1 << 20, 1000):
+        assert sorted(map(tuple, contain.containing(d, p, "doc", "t", "k", "p", size).collect())) == want
+    assert contain.containing(d, p.limit(0), "doc", "t", "k", "p").count() == 0
+
+
+def test_answers_with_citations(spark):
+    c = spark.createDataFrame([("t1", "골절 보장 내용", [0.5, 1.0], "제3조", "특약A"), ("t2", "골절 보장", [1.0, 0.1], "제5조", None), ("t3", "다른 글", [1.0, 0.0], "제7조", None)], "id string, text string, embedding array<double>, clause_no string, exhibit string")
+    q = spark.createDataFrame([(1, "골절 보장", [1.0, 0.0], None), (2, "골절 보장", [1.0, 0.0], "화재보험"), (3, "자동차", [1.0, 0.0], None)], "qid int, text string, embedding array<double>, insurance_type string")
+    got = {r.qid: r for r in retrieval.answers(c, q).collect()}
+    assert [x.id for x in got[1].chunks] == ["t2", "t1", "t3"] and [(x.clause_no, x.exhibit) for x in got[1].citations] == [("제5조", None), ("제3조", "특약A"), ("제7조", None)]
+    assert got[2].chunks == [] and got[3].citations == []
+    r = {(x.method, x.id) for x in retrieval.methods(c, q.where("qid = 1")).collect()}
+    assert ("bm25", "t1") in r and ("rrf", "t3") in r and ("bm25", "t3") not in r
+    both = retrieval.rewritten(c, q.where("qid = 1"), q.where("qid = 1")).orderBy("rank").first()
+    assert both.id == "t2" and abs(both.score - (2 / 61 + 2 / 62)) < 1e-8
+    shapes = spark.createDataFrame([(1, "질문", ("말", None, "다음", "보고"))], "qid int, question string, variants struct<utterance:string,rewritten:string,followup:string,report:string>")
+    assert [(x.variant, x.text, x.rerank_text) for x in retrieval.variant_queries(shapes).collect()] == [("utterance", "말", "말"), ("rewritten", "질문", "말"), ("followup", "다음", "다음"), ("report", "보고", "보고")]
+
+
+def test_grids_and_reports(spark):
+    r = evaluation.grid(spark.createDataFrame([("q",)], "qid string"), version=["v1", "v2"], mode=["strict", "lenient"])
+    assert r.count() == 4
+    s = spark.createDataFrame([("a", "m", 0.5), ("b", "m", 0.75), ("b", "n", 0.1)], "variant string, method string, r5 double")
+    assert {(x.variant, x.method): x.delta for x in evaluation.against(s, "variant", "a", "method").collect()} == {("a", "m"): 0.0, ("b", "m"): 0.25, ("b", "n"): 0.0}
+    assert evaluation.report(s.where("method = 'm'"), "t", ["variant"]).splitlines()[-1] == "| b | m | 0.750 |"
+    a = evaluation.accuracy(spark.createDataFrame([(1, "x", 2.0), (2, None, 4.0)], "k int, predicted string, s double"), spark.createDataFrame([(1, "x"), (2, "y")], "k int, gold string"), "k", seconds="s").first()
+    assert (a.n, a.accuracy, a.latency) == (2, 0.5, 3.0)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quarry.operators import scans as S
 
 
@@ -33,11 +35,35 @@ def test_boundaries_of_a_document(spark):
 
 def test_a_title_over_two_lines():
     found = {"base_start_page": 1, "title_size": 14.0, "product": None}
-    x = lambda t, s: {"page": 2, "text": t, "font_size": 14.0, "is_isolated": True, "score": s}
+    x = lambda t, s: {"page": 2, "t": t, "font_size": 14.0, "mark": None, "skip": False, "bare": s == 0, "score": s}
     got = S.boundary_rows([x("2-1. 갱신형 중증화상 보장", 3.0), x("특별약관", 0.0)], found)
     assert [g[1] for g in got if g[2] == "yak"] == ["2-1. 갱신형 중증화상 보장 특별약관"]
 
 
+def test_dividers_and_appendix_heads(spark):
+    is_divider = {"1. 골절(재골절제외)담보": False, "5. 기타 특별약관": True, "Ⅰ. 상해 관련 특별약관": True, "상해담보": True, "제1관 목적": True, "3. 화상진단비(감액없음)보장 특별약관": False, "2. 질병 관련 특별약관": True}
+    assert {t: S._divider(t, None) for t in is_divider} == is_divider
+    assert S._divider("안심보험 특별약관", None) and S._divider("나의 특별약관", "나의") and not S._divider("골절진단비 특별약관", None)
+    heads = {"특별약관 색인": True, "가나다순 특별약관 색인": True, "무배당 특별약관 색인": False, "인용된 법·규정": True, "인용 법 규정": False, "약관 요약서": True, "인용된 법 전문과 규정": False}
+    import re
+
+    assert {t: bool(re.search(S.APPENDIX_HEAD, t)) for t in heads} == {**heads, "인용 법 규정": bool(re.match(r"^인용된?\s*법[\W\s]*규정", "인용 법 규정"))}
+    rows = [line(2, "【별표 2】  가  나", 14.0, no=0), line(2, "손해는 보상한다. 2. 화상진단비(감액없음) 특별약관", 14.0, True, True, no=1), line(2, "질병 분류표", 10.0, no=2)]
+    d = spark.createDataFrame(document() + [(r[0], 20, *r[2:]) for r in rows], SCHEMA)
+    f = {r.block_no: r for r in S.line_features(d, S.detect(d)).where("page = 20").collect()}
+    assert f[0].mark == "별표2 가 나" and f[1].t == "2. 화상진단비(감액없음) 특별약관" and f[2].mark is None and not f[2].skip
+
+
+def test_contents_range_and_titles(spark):
+    r = spark.createDataFrame([(None, 300), (None, 20), (2, 1232), (8, 30), (50, 400), (0, 300)], "f int, n int").select(S.contents_range(F.col("f"), F.col("n")))
+    assert [x[0] for x in r.collect()] == [48, 20, 63, 30, 53, 48]
+    assert S.split_compound("가/나(다/라)/마") == ["가", "나(다/라)", "마"] and S.split_compound("가)/나") == ["가)", "나"] and S.split_compound("(가/나)") == ["(가/나)"] and S.split_compound("") == [""]
+    got = S.declared_titles(["13. 골절 진단비", "특별약관 ..... 12", "", "Ⅱ. 질병 관련 특별약관 ···· 3", "본문 한 줄 ..... 4"])
+    assert got == ["골절진단비특별약관"]
+    s = spark.createDataFrame([("d", "1. 골절 특약"), ("d", "기타"), ("d", None)], "doc_hash string, section string")
+    assert [x.title for x in S.stored_titles(s).collect()] == ["골절특약"]
+
+
 def fragment(page, text, seq=0, table=False):
     return {"doc_hash": "d", "page": page, "is_table": table, "seq": seq, "text": text}
 
