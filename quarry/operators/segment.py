@@ -67,6 +67,12 @@ def in_page_order(parts: DataFrame, doc: str, ordinal: str, *by: str) -> DataFra
     return parts.withColumn("place", F.row_number().over(Window.partitionBy(doc).orderBy(*by, ordinal)))
 
 
+def three_lines(numbered: DataFrame, key: str) -> DataFrame:
+    """(key, seq, probe, before): each line with the two after it, for headings that go over lines, and the one before it."""
+    w = Window.partitionBy(key).orderBy("seq")
+    return numbered.select(key, "seq", F.concat_ws("\n", "line", F.lead("line", 1).over(w), F.lead("line", 2).over(w)).alias("probe"), F.lag("line").over(w).alias("before"))
+
+
 def fragments(pages: DataFrame) -> DataFrame:
     """Paragraphs and tables of pages (doc, page, text, tables) as (doc, page, is_table, seq, text, source)."""
     text = pages.select("doc", "page", F.posexplode(paragraphs(F.col("text"))).alias("seq", "text")).select("doc", "page", F.lit(False).alias("is_table"), "seq", "text", F.lit(None).cast("string").alias("source"))

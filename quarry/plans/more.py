@@ -64,10 +64,10 @@ def unlabelled_taxonomy(spark, d):
     return checks.unlabelled(_chunks(spark, d), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"])
 
 
-@query("""WITH s AS (SELECT source AS doc_hash, lang AS section, quality AS article_no, embedding, TIMESTAMP '2024-01-01' + to_days(CAST(doc_id AS INTEGER)) AS at FROM documents LEFT JOIN embeddings ON vec_id = doc_id LEFT JOIN labels USING (doc_id))
+@query("""WITH s AS (SELECT source AS doc_hash, lang AS section, quality AS article_no, embedding, TIMESTAMP '2024-01-01' + to_days(CAST(doc_id AS INTEGER)) AS seen FROM documents LEFT JOIN embeddings ON vec_id = doc_id LEFT JOIN labels USING (doc_id))
 SELECT 'OK' AS state, 'chunks ' || count(*) AS message FROM s UNION ALL SELECT CASE WHEN count(embedding) = count(*) THEN 'OK' ELSE 'WARN' END, 'embedded ' || count(embedding) FROM s
 UNION ALL SELECT CASE WHEN max(len(embedding)) = 64 THEN 'OK' ELSE 'FAIL' END, 'dimension ' || max(len(embedding)) FROM s UNION ALL SELECT CASE WHEN count(*) = 0 THEN 'OK' ELSE 'WARN' END, 'split clauses ' || count(*) FROM (SELECT 1 FROM s GROUP BY doc_hash, section, article_no HAVING count(*) > 1)
-UNION ALL SELECT 'INFO', 'last ' || strftime(max(at), '%Y-%m-%d %H:%M:%S') FROM s""")
+UNION ALL SELECT 'INFO', 'last ' || strftime(max(seen), '%Y-%m-%d %H:%M:%S') FROM s""")
 def deployment_readiness(spark, d):
     """Documents as the chunks of a store, with the vectors and labels that they have."""
     e = _t(spark, d, "documents").join(_t(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "left").join(_t(spark, d, "labels"), "doc_id", "left")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import corpus, more, tables
+from quarry.plans import corpus, more, reports, tables
 
-QUERIES: dict = {**corpus.QUERIES, **tables.QUERIES, **more.QUERIES}
-SQL: dict = {**corpus.SQL, **tables.SQL, **more.SQL}
+QUERIES: dict = {**corpus.QUERIES, **tables.QUERIES, **more.QUERIES, **reports.QUERIES}
+SQL: dict = {**corpus.SQL, **tables.SQL, **more.SQL, **reports.SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
