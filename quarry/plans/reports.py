@@ -276,6 +276,33 @@ def labelled_fragments(spark, d):
     return scans.label_articles(f, scans.boundaries(x), scans.contents(x))
 
 
+_HEADS = """SELECT concat('s', l_suppkey) AS doc_hash, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate) AS ord, l_returnflag AS section, l_linenumber AS article_no,
+CASE l_partkey % 4 WHEN 0 THEN '본문이 이어집니다.' WHEN 1 THEN concat('제', l_linenumber, '조의', l_suppkey, '(목적)') WHEN 2 THEN concat('제 ', l_linenumber, ' 조 【정의】 ') ELSE concat('제', l_linenumber, '조[지급]') END AS body, l_discount > 0.09 AS is_table FROM lineitem"""
+_FLAG = "regexp_matches(trim(body), '^제\\s*\\d+\\s*조(?:의\\s*\\d+)?\\s*(?:[(（\\[【].{1,80}[)）\\]】])\\s*$')"
+
+
+def _headings(spark, d) -> DataFrame:
+    """Lines of which three in four are headings alone, from all rows of lineitem."""
+    _t(spark, d, "lineitem").createOrReplaceTempView("__heads")
+    return spark.sql(_HEADS.replace("FROM lineitem", "FROM __heads")).withColumn("article_title", F.lit(None).cast("string"))
+
+
+@query(f"""WITH r AS (SELECT *, NOT is_table AND {_FLAG} AS flag, lag(section) OVER (PARTITION BY doc_hash ORDER BY ord) AS p FROM ({_HEADS})), s AS (SELECT *, sum(CASE WHEN section IS DISTINCT FROM p THEN 1 ELSE 0 END) OVER (PARTITION BY doc_hash ORDER BY ord) AS turn FROM r),
+f AS (SELECT *, row_number() OVER w - sum(CAST(flag AS INTEGER)) OVER w AS i FROM s WINDOW w AS (PARTITION BY doc_hash, turn ORDER BY ord)), n AS (SELECT *, CASE WHEN flag THEN count(*) FILTER (flag) OVER (PARTITION BY doc_hash, turn, i) ELSE 0 END AS n FROM f)
+SELECT doc_hash, CAST(ord AS INTEGER) AS ord, section, article_no, CAST(NULL AS VARCHAR) AS article_title, body FROM n WHERE n < 2 UNION ALL SELECT doc_hash, CAST(min(ord) AS INTEGER), section, NULL, '인용 조문', string_agg(trim(body), chr(10) ORDER BY ord) FROM n WHERE n >= 2 GROUP BY doc_hash, turn, i, section""")
+def merged_heading_runs(spark, d):
+    """Runs of bare headings within a section as one row each."""
+    return segment.merge_titles(_headings(spark, d)).select("doc_hash", "ord", "section", "article_no", "article_title", "body")
+
+
+@query(f"""WITH f AS (SELECT doc_hash, ord, {_FLAG} AS f, row_number() OVER (PARTITION BY doc_hash ORDER BY ord) AS r FROM ({_HEADS})), g AS (SELECT doc_hash, ord, r - row_number() OVER (PARTITION BY doc_hash ORDER BY ord) AS i FROM f WHERE f)
+SELECT doc_hash, CAST(min(ord) AS INTEGER) AS first, CAST(max(ord) AS INTEGER) AS last, count(*) AS n FROM g GROUP BY doc_hash, i HAVING count(*) >= 3""")
+def heading_citation_runs(spark, d):
+    """Three bare headings or more in a row."""
+    n = _headings(spark, d).select("doc_hash", F.col("ord").alias("seq"), F.trim("body").alias("line"))
+    return segment.citation_runs(n, "doc_hash")
+
+
 _PROBE = f"SELECT doc_id, seq, concat_ws(chr(10), line, lead(line, 1) OVER w, lead(line, 2) OVER w) AS probe, lag(line) OVER w AS before FROM ({corpus._LINES}) WINDOW w AS (PARTITION BY doc_id ORDER BY seq)"
 
 
