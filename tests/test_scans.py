@@ -83,6 +83,21 @@ def test_lists_of_citations_are_no_headings():
     assert len(S._cuts("다음 법률\n제5조(나) 글")) == 1 and len(S._cuts("글\n제2조(나)에서 정한")) == 1
 
 
+def test_headings_over_lines_and_without_an_end():
+    assert S.heading("제1조\n보험금의 지급\n본문") == (1, "보험금의 지급") and S.heading("제3조(암(유사암제외), 갑상선암 경계성종양의 정의") == (3, "암(유사암제외), 갑상선암 경계성종양의 정의")
+    assert S.heading("제20조(특별부활(효\n력회복)) 본문") == (20, "특별부활(효 력회복)") and S.heading("제5조(가)에서 정한") is None and S.heading("본문") is None
+    assert len(S._cuts("앞 글\n제20조(특별부활(효\n력회복))\n본문")) == 2 and len(S._cuts("제1관 일반사항 및 용어의 정의\n제1조(목적) 글")) == 2
+    assert len(S._cuts("의료급여법\n제10조(부담) 글")) == 1 and len(S._cuts("다음과 같다,\n제2조(나) 글")) == 1
+    assert len(S._cuts("제297조(가)\n\n제298조(나)\n제299조(다)\n본문")) == 1
+
+
+def test_the_last_boundary_of_a_page_that_a_fragment_names_counts():
+    b = [bound(1, "가나다 특별약관", "yak"), bound(1, "라마바 특별약관", "yak", 1), bound(1, "별표3 골절 분류표", "byeolpyo", 2)]
+    got = S.label_rows([fragment(1, "앞 글"), fragment(1, "가나다 특별약관\n라마바 특별약관\n제1조(목적) 글", 1), fragment(1, "【 별표3 】 골절 분류표", 2), fragment(2, "3. 골절담보\n- 4 -\n뒤 글")], b)
+    assert [r["section"] for r in got] == [None, "라마바 특별약관", "라마바 특별약관", "별표3 골절 분류표", "별표3 골절 분류표"] and got[-1]["text"] == "뒤 글"
+    assert [r["article_no"] for r in got] == [None, None, 1, None, None]
+
+
 def test_a_reset_begins_a_section():
     b = [bound(1, "묶음 특별약관", "yak")]
     f = [fragment(1, "묶음 특별약관\n제1조(가) 글"), fragment(1, "제2조(나) 글", 1), fragment(1, "제1조(가) 글", 2), fragment(2, "제2조(나) 글\n수술비 특별약관"), fragment(2, "제1조(다) 글", 1)]
