@@ -13,6 +13,7 @@ from quarry.functions import text as X
 from quarry.operators import checks, evaluation, ingest, questions, retrieval, scans, segment, terms
 from quarry.plans import corpus
 from quarry.plans.more import _CHUNKS, _chunks
+from quarry.session import cut
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -273,7 +274,8 @@ def labelled_fragments(spark, d):
     """Every line as a fragment with the section and article that it stands under."""
     x = styled_lines(spark, d)
     f = x.select("doc_hash", "page", F.lit(False).alias("is_table"), F.row_number().over(Window.partitionBy("doc_hash", "page").orderBy("block_no", "line_no", "text")).alias("seq"), "text")
-    return scans.label_articles(f, scans.boundaries(x), scans.contents(x))
+    found = cut(scans.detect(x), "found")
+    return scans.label_articles(f, scans.boundaries(x, found), scans.contents(x, found))
 
 
 _HEADS = """SELECT concat('s', l_suppkey) AS doc_hash, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate) AS ord, l_returnflag AS section, l_linenumber AS article_no,

@@ -128,3 +128,16 @@ def test_lines_in_tables_are_left_out(spark):
     boxes = spark.createDataFrame([("d", 1, 0.0, 0.0, 5.0, 5.0)], "doc_hash string, page int, x0 double, y0 double, x1 double, y1 double")
     df = spark.createDataFrame([line(1, "in"), line(2, "out")], SCHEMA)
     assert [r.text for r in S.in_boxes(df, boxes).collect()] == ["out"]
+
+
+def test_lines_leave_in_one_stream_without_the_bounds_on_each(spark):
+    rows = [(d, 1, False, i, f"제{i + 1}조(가{i}) 글") for d in ("a", "b", "c") for i in range(3)]
+    f = spark.createDataFrame(rows, "doc_hash string, page int, is_table boolean, seq int, text string").repartition(4)
+    b = spark.createDataFrame([("a", i, 1, f"보통약관{i}", "yak") for i in range(5)] + [("z", 0, 1, "다른 특별약관", "yak")], "doc_hash string, ord int, page int, label string, kind string")
+    got = S.label_articles(f, b)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString() and {r.doc_hash for r in got.collect()} == {"a", "b", "c"}
+
+
+def test_a_text_is_read_once_and_all_its_signs_are_right():
+    assert S.text_features("손해는 보상한다. 2. 화상진단비(감액없음) 특별약관")[0] == "2. 화상진단비(감액없음) 특별약관" and S.text_features("【별표 2】  가  나")[1] == "별표2 가 나"
+    assert S.text_features("질병 분류표")[2] and S.text_features("특별약관 색인")[3] and S.text_features("특별약관")[8] and S.text_features("의료법 시행령")[7]
