@@ -300,7 +300,8 @@ def boilerplate(chunks: DataFrame, key: Column, order: list[str], always: Column
 
     Firsts are combined before they are shuffled and joined back, so a text that millions of chunks repeat is no single group.
     """
-    c = chunks.withColumn("__k", F.xxhash64(F.nullif(key, F.lit("")))).withColumn("__key", F.nullif(key, F.lit("")))
+    # chunks without a key meet none; hashed by their ids they are dealt over all tasks of the join, not sent to one
+    c = chunks.withColumn("__key", F.nullif(key, F.lit(""))).withColumn("__k", F.when(F.col("__key").isNull(), F.xxhash64("chunk_id")).otherwise(F.xxhash64("__key")))
     firsts = c.where("__key is not null").groupBy("__k", "__key").agg(F.min(F.struct(*[F.col(x) for x in order], F.col("chunk_id").alias("__id"))).alias("__first"), F.count("*").alias("__n")).where("__n > 1")
     c = c.join(firsts.select("__k", "__key", F.col("__first.__id").alias("__first")), ["__k", "__key"], "left")
     again = F.coalesce(F.col("__first") != F.col("chunk_id"), F.lit(False))

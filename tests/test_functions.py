@@ -115,6 +115,19 @@ def test_best_table_and_boilerplate(spark):
     assert got == {"a": (False, None), "b": (True, "a"), "c": (False, None), "d": (False, None)}
 
 
+def test_chunks_without_a_key_are_dealt_over_all_tasks(spark):
+    c = spark.range(4000).select(F.col("id").cast("string").alias("chunk_id"), F.col("id").alias("chunk_index"), F.when(F.col("id") < 4, F.lit("k")).alias("k"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false"), strict=True):
+            spark.conf.set(k, v)
+        n = [r["count"] for r in segment.boilerplate(c, F.col("k"), ["chunk_index"]).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(n) == 4000 and max(n) < 2000
+
+
 def test_headers_and_classes(spark):
     h = segment.header(F.col("l"), F.col("a"), F.col("t"), F.col("k"))
     got = values(spark, [h], [("특약", 3, "가", "yak"), ("보통", 3, None, "base"), (None, None, None, "front")], "l string, a int, t string, k string")
