@@ -164,6 +164,14 @@ def test_vectors_against_all_pairs(spark):
     assert retrieval.vectors(named, df.withColumnRenamed("vec_id", "qid"), k=1).where("qid = 3").first().vec_id == "c3"
 
 
+def test_vectors_of_one_file_are_dealt_over_the_cores_and_ties_stay_in_order(spark):
+    rows = [(i, [1.0, 0.0] if i % 2 else [1.0, 0.001 * (i // 40)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = retrieval.vectors(df, df.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "qid"), k=9, drop_self=True, block=32)
+    assert "SinglePartition" not in got._jdf.queryExecution().toString() and "hashpartitioning(k#" in got._jdf.queryExecution().executedPlan().toString()
+    assert [r.vec_id for r in got.where("qid = 0").orderBy("rank").collect()] == list(range(1, 10)) and got.count() == 20 * 9
+
+
 def test_containment_against_all_pairs(spark):
     rng = random.Random(8)
     word = lambda: rng.choice(["가나", "다", "ab", "c", "é", "xyz", " "])
