@@ -13,7 +13,7 @@ from quarry.functions import text as X
 from quarry.operators import checks, evaluation, ingest, questions, retrieval, scans, segment, terms
 from quarry.plans import corpus
 from quarry.plans.more import _CHUNKS, _chunks
-from quarry.session import cut
+from quarry.session import cut, small_side
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -173,8 +173,10 @@ FROM (SELECT item_id AS qid, doc_id AS id, rank, 0 AS leg FROM ({_KEYS}) UNION A
 
 
 def _hybrid(spark, d) -> tuple[DataFrame, DataFrame]:
-    c = _t(spark, d, "documents").join(_t(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id")
-    c = c.select(F.col("doc_id").alias("id"), "text", "embedding", F.col("lang").alias("clause_no"), F.col("source").alias("exhibit"))
+    e = _t(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    t = _t(spark, d, "documents")
+    c = t.join(small_side(cut(e.select("doc_id"), "ids")), "doc_id", "left_semi").join(e, "doc_id")  # texts without a vector aren't shuffled
+    c = cut(c.select(F.col("doc_id").alias("id"), "text", "embedding", F.col("lang").alias("clause_no"), F.col("source").alias("exhibit")), "chunks")
     return c, c.where("id % 20 = 0").select(F.col("id").alias("qid"), "text", "embedding")
 
 

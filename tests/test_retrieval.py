@@ -39,6 +39,19 @@ def test_repeated_query_words_count_again(spark):
     assert {(r.item_id, r.doc_id) for r in retrieval.bm25(d, q, every=True).collect()} == {(1, 1), (2, 1)}
 
 
+def test_a_query_meets_only_documents_with_its_rarest_word(spark):
+    d = spark.createDataFrame([(i, f"a b c {i % 3}x" if i else "a b rare c 0x") for i in range(60)], "doc_id long, text string")
+    q = spark.createDataFrame([(1, "a b c rare"), (2, "rare c b a"), (3, "a rare none"), (4, "a a b"), (5, "1x a")], "item_id long, text string")
+    got = {}
+    for r in retrieval.bm25(d, q, every=True, k=None).collect():
+        got.setdefault(r.item_id, set()).add(r.doc_id)
+    assert got == {1: {0}, 2: {0}, 4: set(range(60)), 5: {i for i in range(60) if i % 3 == 1}}
+    plan = retrieval.bm25(d, q, every=True)._jdf.queryExecution().executedPlan().toString()
+    assert "min_by(term" not in plan and "needed" in plan
+    one = {(r.doc_id, r.score, r["rank"]) for r in retrieval.bm25(d, q, every=True, k=5).where("item_id = 1").collect()}
+    assert one == {(r.doc_id, r.score, r["rank"]) for r in retrieval.bm25(d, q, every=True, k=5).where("item_id = 2").collect()}
+
+
 def test_hits_and_metrics(spark):
     gold = "array<struct<section:string,article:string>>"
     rows = [("s", "1", "x", [("s", "1")], None), ("s", "2", "x", [("s", "1")], None), ("s", None, "a key", [("s", None)], ["key"]), ("s", None, "a", [("s", None)], ["key"]), (None, None, None, None, None)]
