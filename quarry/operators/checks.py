@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quarry.functions.text import double_spaces, probe_norm
+from quarry.session import ship_package
 
 CHUNK_TYPES = ["general", "definition", "coverage", "exclusion", "claim", "duty", "termination", "special_clause", "schedule"]
 
@@ -36,9 +39,27 @@ def collapsed(gaps: Column, nonmono: Column, sections: Column) -> Column:
     return (gaps == 0) & (nonmono > F.greatest(F.lit(30), sections))
 
 
-def probes(text: Column, size: int = 12, step: int = 40) -> Column:
-    """Pieces of so many characters, every so many."""
-    return F.when(F.length(text) >= size, F.transform(F.sequence(F.lit(1), F.length(text) - size + 1, F.lit(step)), lambda i: F.substr(text, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+def probe_hits(text: str | None, whole: str | None, size: int = 12, step: int = 40) -> tuple[int, int]:
+    """How many pieces of so many characters, every so many, text has, and how many of them whole contains. A piece is looked for shortly after the last one found, and else among all pieces of whole, which are collected once: the work grows with the lengths, not with their product."""
+    text, whole = text or "", whole or ""
+    at, found, every = 0, 0, None
+    starts = range(0, len(text) - size + 1, step)
+    for i in starts:
+        piece = text[i : i + size]
+        near = whole.find(piece, at, at + 20 * step)
+        if near >= 0:
+            at, found = near, found + 1
+            continue
+        if every is None:
+            every = {whole[j : j + size] for j in range(len(whole) - size + 1)}
+        found += piece in every
+    return len(starts), found
+
+
+@F.arrow_udf(StructType([StructField("probes", LongType()), StructField("found", LongType())]))
+def _probe_hits(texts: pa.Array, wholes: pa.Array) -> pa.Array:
+    rows = [probe_hits(t.as_py(), w.as_py()) for t, w in zip(texts, wholes, strict=True)]
+    return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], ["probes", "found"])
 
 
 def coverage(source: DataFrame, chunks: DataFrame, key: str, order: str, page: str | None = None, text: str = "text", chunk_text: str = "chunk_text", norm: Callable[[Column], Column] = probe_norm) -> DataFrame:
@@ -52,8 +73,8 @@ def coverage(source: DataFrame, chunks: DataFrame, key: str, order: str, page: s
         near = whole.select(key, F.col(page).alias("__p"), "__t", F.explode(F.sequence(F.col(page) - 1, F.col(page) + 1)).alias(page))
         whole = near.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__p", "__t"))), lambda x: x["__t"]), "").alias("__t"))
     p = source.select(*by, norm(F.col(text)).alias("__s")).join(whole.select(*by, norm(F.col("__t")).alias("__all")), by, "left")
-    hits = F.transform(probes(F.col("__s")), lambda x: F.coalesce(F.contains("__all", x), F.lit(False)))
-    return p.select(*by, F.size(hits).cast("long").alias("probes"), F.size(F.filter(hits, lambda h: h)).cast("long").alias("found")).where("probes > 0")
+    ship_package(source.sparkSession)
+    return p.select(*by, _probe_hits("__s", "__all").alias("__h")).select(*by, "__h.probes", "__h.found").where("probes > 0")
 
 
 def worst(covered: DataFrame, key: str, page: str, most: float = 0.5, k: int = 5) -> DataFrame:

@@ -161,3 +161,18 @@ def test_indicators(spark):
     ch2 = spark.createDataFrame([("d", "절", None, False, 1), ("d", "절", 1, False, 2), ("d", "별표1", None, False, 3), ("d", "절", None, False, 4), ("d", "절", None, False, 5), ("d", None, None, False, 6)], "doc_hash string, section string, article_no int, is_table boolean, o int")
     r = checks.adjusted_restore_rate(ch2, ["o"]).first()
     assert (r.total, r.restored, r.appendix, r["first"], r.other, r.adjusted) == (5, 1, 1, 2, 1, 0.5)
+
+
+def test_probes_of_a_long_text_are_found_in_one_pass():
+    import random
+    import time
+
+    r = random.Random(3)
+    text = "".join(r.choice("abcdefgh") for _ in range(400_000))
+    whole = text[200_000:] + text[:100_000]
+    pieces = [text[i : i + 12] for i in range(0, len(text) - 11, 40)]
+    t = time.process_time()
+    got = checks.probe_hits(text, whole)
+    took, every = time.process_time() - t, {whole[j : j + 12] for j in range(len(whole) - 11)}
+    assert took < 10 and got == (len(pieces), sum(p in every for p in pieces))
+    assert checks.probe_hits("short", None) == (0, 0) and checks.probe_hits("a" * 12 + "b" * 40, "b" * 11 + "a" * 12) == (2, 1)
