@@ -219,3 +219,13 @@ def test_grids_and_reports(spark):
     assert evaluation.report(s.where("method = 'm'"), "t", ["variant"]).splitlines()[-1] == "| b | m | 0.750 |"
     a = evaluation.accuracy(spark.createDataFrame([(1, "x", 2.0), (2, None, 4.0)], "k int, predicted string, s double"), spark.createDataFrame([(1, "x"), (2, "y")], "k int, gold string"), "k", seconds="s").first()
     assert (a.n, a.accuracy, a.latency) == (2, 0.5, 3.0)
+
+
+def test_headings_that_pages_share_are_looked_up_once(spark, tmp_path, monkeypatch):
+    from quarry.plans import corpus
+
+    spark.createDataFrame([(i, f"<h1>{'Same head' if i < 50 else 'No line'}</h1>") for i in range(60)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, "x Same head y\nother")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    asked, real = [], contain.containing
+    monkeypatch.setattr(corpus.contain, "containing", lambda docs, phrases, *how: asked.append(phrases.count()) or real(docs, phrases, *how))
+    assert sorted(map(tuple, corpus.toc_containment_match(spark, str(tmp_path)).collect())) == [(i, "Noline") for i in range(50, 60)] and asked == [2]
