@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import dense
-from quarry.operators.contain import containing
+from quarry.operators.contain import frequency
 
 
 def candidates(chunks: DataFrame, n: int, stratum: str = "chunk_type", seed: int = 7, key: str = "chunk_id") -> DataFrame:
@@ -34,8 +34,7 @@ def rare_keywords(questions: DataFrame, df: DataFrame, n_chunks: int, share: flo
 def keyword_frequency(keywords: DataFrame, chunks: DataFrame) -> DataFrame:
     """(term, df): chunks whose text without spaces contains the keyword without spaces; a keyword that none has isn't there."""
     k = keywords.select("term", dense(F.col("term")).alias("word")).distinct()
-    c = chunks.select(F.monotonically_increasing_id().alias("chunk"), dense(F.col("content")).alias("content"))
-    return containing(c, k, "chunk", "content", "term", "word").groupBy("term").agg(F.count("*").alias("df"))
+    return frequency(chunks.select(dense(F.col("content")).alias("content")), k, "content", "term", "word")
 
 
 def difficulty(best: Column) -> Column:

@@ -1,7 +1,10 @@
 import random
+import sys
 import threading
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import catalogue, contain, evaluation, questions, retrieval, store, terms
@@ -197,6 +200,55 @@ def test_containment_against_all_pairs(spark):
     assert contain.containing(d, p.limit(0), "doc", "t", "k", "p").count() == 0
 
 
+@pytest.mark.parametrize("step", [40, 1 << 17])
+def test_containment_of_phrases_of_every_length(monkeypatch, step):
+    monkeypatch.setattr(contain, "_STEP", step)
+    monkeypatch.setattr(contain, "_TEXTS", 500)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice(["a", "b", "é", "가"]) for _ in range(n))
+    base = word(300)
+    texts = [word(rng.randrange(0, 400)) for _ in range(40)] + [base, None, "", base[:70] + base[80:], "a" * 200]
+    cuts = [(rng.choice([t for t in texts if t]), rng.randrange(0, 200), n) for n in range(1, 150)]
+    phrases = [t[i : i + n] for t, i, n in cuts] + [base[:n] for n in range(20, 100)] + [base[:69] + "x", "a" * 63, "a" * 64, "a" * 200, "a" * 201, "", base, base]
+    index, got = contain.Phrases(phrases), []
+    for lo, _, raw, offsets in contain._pieces(pa.array(["left out", *texts]).slice(1)):
+        doc, phrase = index.within(raw, offsets)
+        got += zip((doc + lo).tolist(), phrase.tolist(), strict=True)
+    assert sorted(got) == sorted((i, j) for i, t in enumerate(texts) for j, p in enumerate(phrases) if t and p and p in t)
+
+
+def test_common_words_are_not_compared_one_at_a_time():
+    """Words of six letters and more begin alike, and prose is full of them: calls follow the steps of the text, not its words."""
+    words = [a + b for a in ("inter", "prefe", "consider") for b in ("nal", "red", "rence", "ring", "able", "ation", "vention", "mittent")]
+    rng, calls = random.Random(3), 0
+    texts = ["".join(rng.choices(words, k=5000)).encode() for _ in range(8)]
+    index, raw, offsets = contain.Phrases(words), np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    sys.setprofile(count)
+    try:
+        doc, phrase = index.within(raw, offsets)
+    finally:
+        sys.setprofile(None)
+    assert sorted(zip(doc.tolist(), phrase.tolist(), strict=True)) == [(i, j) for i, t in enumerate(texts) for j, w in enumerate(words) if w.encode() in t]
+    assert calls < 8 * 5000 / 2
+
+
+def test_keyword_frequency_sends_counts_not_pairs(spark):
+    docs = [(f"ab {i % 3} keyword other {'x' * (i % 5)}",) for i in range(300)] + [(None,), ("",)]
+    c, k = spark.createDataFrame(docs, "content string").coalesce(1), spark.createDataFrame([("key word",), ("keyword",), ("other",), ("xxx",), ("ab1k",), ("absent",), ("",), (None,)], "term string")
+    got = questions.keyword_frequency(k, c)
+    want = {t: sum(t.replace(" ", "") in d.replace(" ", "") for (d,) in docs if d) for (t,) in k.collect() if t}
+    assert dict(map(tuple, got.collect())) == {t: n for t, n in want.items() if n} and got.dtypes == [("term", "string"), ("df", "bigint")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "mapinarrow" in plan.lower() and "monotonically" not in plan
+    for size in (1 << 20, 100):
+        assert contain.frequency(c, k.withColumn("word", k.term), "content", "term", "word", size).where("term = 'keyword'").first().df == 300
+
+
 def test_answers_with_citations(spark):
     c = spark.createDataFrame([("t1", "골절 보장 내용", [0.5, 1.0], "제3조", "특약A"), ("t2", "골절 보장", [1.0, 0.1], "제5조", None), ("t3", "다른 글", [1.0, 0.0], "제7조", None)], "id string, text string, embedding array<double>, clause_no string, exhibit string")
     q = spark.createDataFrame([(1, "골절 보장", [1.0, 0.0], None), (2, "골절 보장", [1.0, 0.0], "화재보험"), (3, "자동차", [1.0, 0.0], None)], "qid int, text string, embedding array<double>, insurance_type string")
